@@ -30,10 +30,9 @@ def days(n: int) -> Column:
 
 def wall_micros(ts: Column) -> Column:
     """Microseconds since 1970 of a wall clock, whatever the session time zone is."""
-    day = F.unix_date(ts.cast("date")).cast("bigint") * F.lit(24 * MICROS_PER_HOUR)
+    whole = F.unix_date(ts.cast("date")).cast("bigint") * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60
     second = F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)
-    return (day + F.hour(ts) * F.lit(MICROS_PER_HOUR) + F.minute(ts) * F.lit(MICROS_PER_MINUTE)
-            + second.cast("bigint"))
+    return whole * F.lit(1_000_000) + second.cast("bigint")
 
 
 def to_gmt8(ts: Column, instant: bool = False) -> Column:
@@ -46,6 +45,11 @@ def to_gmt8(ts: Column, instant: bool = False) -> Column:
     return ts.cast("timestamp_ntz") + hours(8)
 
 
+def gmt8_instant(ts: Column) -> Column:
+    """The instant a GMT+8 wall clock shows: event time of a stream must be a ``timestamp``."""
+    return F.timestamp_micros(wall_micros(ts) - F.lit(8 * MICROS_PER_HOUR))
+
+
 def within_service_hours(ts: Column, tz: str = "Asia/Singapore", start: int = 9, end: int = 21) -> Column:
     """Is the local hour in [start, end)? Wraps over midnight; equal bounds mean always."""
     if start == end:

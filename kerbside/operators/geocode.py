@@ -15,10 +15,13 @@ from kerbside.functions import text
 from kerbside.operators.upsert import replace_by_key, upsert
 from kerbside.schemas import GEOCODE_COLUMNS, GEOCODE_SCHEMA, OVERRIDE_COLUMNS
 
-_HIT = F.struct("postal", "latitude", "longitude", "address", "searchval")
 _RESULT_COLUMNS = [c for c in GEOCODE_COLUMNS if c not in ("attempted_at", "resolved_at")]
 
 
+def _hit() -> Column:
+    return F.struct("postal", "latitude", "longitude", "address", "searchval")
+
+
 def _null(kind: str = "string") -> Column:
     return F.lit(None).cast(kind)
 
@@ -96,13 +99,13 @@ def _place_choice(valid: Column) -> dict[str, Column]:
         "result_count": F.count(F.lit(1)).cast("int"),
         "status": F.when(low.isNull(), F.lit("no_match")).when(low != high, F.lit("ambiguous"))
         .otherwise(F.lit("resolved")),
-        "place_hit": F.when(low == high, F.min_by(_HIT, F.when(valid, F.col("rank")))),
+        "place_hit": F.when(low == high, F.min_by(_hit(), F.when(valid, F.col("rank")))),
     }
 
 
 def _postal_choice() -> Column:
     """First hit whose postal code is the query itself."""
-    return F.min_by(_HIT, F.when(F.trim("postal") == F.col("query"), F.col("rank")))
+    return F.min_by(_hit(), F.when(F.trim("postal") == F.col("query"), F.col("rank")))
 
 
 def _valid_postal() -> Column:
@@ -135,7 +138,7 @@ def choose_station(hits: DataFrame) -> DataFrame:
     name = F.coalesce(F.nullif("searchval", F.lit("")), F.col("address"), F.lit(""))
     is_station = F.upper(name).contains("MRT")
     order = F.when(usable, F.struct((~is_station).alias("other"), "rank"))
-    return (hits.groupBy("query").agg(F.count(F.lit(1)).cast("int").alias("hit_count"), F.min_by(_HIT, order).alias("hit"))
+    return (hits.groupBy("query").agg(F.count(F.lit(1)).cast("int").alias("hit_count"), F.min_by(_hit(), order).alias("hit"))
             .select("query", "hit_count", F.col("hit").isNotNull().alias("found"), "hit.*"))
 
 

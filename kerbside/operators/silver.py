@@ -20,20 +20,22 @@ def lookback_filter(df: DataFrame, col: str, as_of: str | datetime | None, hours
     return df.where(F.col(col) >= clock.ntz(as_of) - clock.hours(hours))
 
 
-def latest_copy(messages: DataFrame, keys: Sequence[str] = ("channel", "id"),
-                order_col: str = "scraped_at_gmt8") -> DataFrame:
-    """Newest copy per key among rows with a message.
+def newest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """The row with the highest ``order_col`` per key.
 
     ``row_number() = 1`` lets Spark keep one row per key in every map task before the
     shuffle, so many copies of one key never meet in one task. Remaining columns break
     ties: the result does not depend on row order.
     """
-    ties = [c for c in messages.columns if c not in {*keys, order_col}]
+    ties = [c for c in df.columns if c not in {*keys, order_col}]
     newest = Window.partitionBy(*keys).orderBy(F.desc(order_col), *[F.desc(c) for c in ties])
-    return (messages.where(F.col("message").isNotNull())
-            .withColumn("_copy", F.row_number().over(newest))
-            .where(F.col("_copy") == 1).drop("_copy"))
+    return df.withColumn("_copy", F.row_number().over(newest)).where(F.col("_copy") == 1).drop("_copy")
+
 
+def latest_copy(messages: DataFrame, keys: Sequence[str] = ("channel", "id"),
+                order_col: str = "scraped_at_gmt8") -> DataFrame:
+    """Newest copy per message; copies without text are dropped before the choice."""
+    return newest_per_key(messages.where(F.col("message").isNotNull()), keys, order_col)
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:

@@ -27,11 +27,23 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("state_key", T.StringType(), False),
 ])
 
-SILVER_COLUMNS = [
-    "channel", "topic_id", "message_id", "message_date_gmt8", "message", "sender_id",
-    "sender_handle", "scraped_at_gmt8", "request_type", "pickup_location",
-    "dropoff_location", "request_time_text", "pax_count", "parse_status",
-]
+SILVER_SCHEMA = T.StructType([
+    T.StructField("channel", T.StringType()),
+    T.StructField("topic_id", T.LongType()),
+    T.StructField("message_id", T.LongType()),
+    T.StructField("message_date_gmt8", T.TimestampNTZType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("sender_id", T.LongType()),
+    T.StructField("sender_handle", T.StringType()),
+    T.StructField("scraped_at_gmt8", T.TimestampNTZType()),
+    T.StructField("request_type", T.StringType()),
+    T.StructField("pickup_location", T.StringType()),
+    T.StructField("dropoff_location", T.StringType()),
+    T.StructField("request_time_text", T.StringType()),
+    T.StructField("pax_count", T.IntegerType()),
+    T.StructField("parse_status", T.StringType()),
+])
+SILVER_COLUMNS = SILVER_SCHEMA.fieldNames()
 SILVER_KEYS = ["channel", "message_id"]
 
 GAZETTEER_SCHEMA = T.StructType([
@@ -83,14 +95,25 @@ GEOCODE_SUFFIXES = {
     "result_count": "geocode_result_count",
     "error_message": "geocode_error_message",
 }
-GOLD_COLUMNS = [
-    "gold_request_id", "silver_request_id", "is_canonical_request", "telegram_user_key",
-    "channel", "topic_id", "message_id", "message_date_gmt8", "sender_id", "sender_handle",
-    "request_type", "pickup_location", "dropoff_location", "normalized_pickup_location",
-    "normalized_dropoff_location",
-    *(f"{side}_{suffix}" for side in ("pickup", "dropoff") for suffix in GEOCODE_SUFFIXES.values()),
-    "request_time_text", "pax_count", "scraped_at_gmt8", "message",
-]
+def _side_fields(side: str) -> list[T.StructField]:
+    kinds = {f.name: f.dataType for f in GEOCODE_SCHEMA}
+    return [T.StructField(f"{side}_{suffix}", kinds[c]) for c, suffix in GEOCODE_SUFFIXES.items()]
+
+
+GOLD_SCHEMA = T.StructType([
+    T.StructField("gold_request_id", T.StringType()),
+    T.StructField("silver_request_id", T.StringType()),
+    T.StructField("is_canonical_request", T.BooleanType()),
+    T.StructField("telegram_user_key", T.StringType()),
+    *[SILVER_SCHEMA[c] for c in ("channel", "topic_id", "message_id", "message_date_gmt8", "sender_id",
+                                 "sender_handle", "request_type", "pickup_location", "dropoff_location")],
+    T.StructField("normalized_pickup_location", T.StringType()),
+    T.StructField("normalized_dropoff_location", T.StringType()),
+    *_side_fields("pickup"),
+    *_side_fields("dropoff"),
+    *[SILVER_SCHEMA[c] for c in ("request_time_text", "pax_count", "scraped_at_gmt8", "message")],
+])
+GOLD_COLUMNS = GOLD_SCHEMA.fieldNames()
 
 FEED_COLUMNS = [
     "gold_request_id", "silver_request_id", "channel", "topic_id", "message_id",

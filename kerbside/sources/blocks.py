@@ -1,0 +1,61 @@
+"""Large keyed tables, partitioned by (channel, id block), rewritten only where touched.
+
+Message ids of a channel ascend, so a batch touches the newest blocks and little else. A
+third of all rows in one channel is spread over as many blocks as its ids need.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kerbside.sources.workspace import path_exists
+
+BLOCK_SIZE = 1_000_000
+LAYOUT = ["channel", "id_block"]
+
+
+def _with_block(df: DataFrame, id_col: str) -> DataFrame:
+    return df.withColumn("id_block", F.floor(F.col(id_col) / F.lit(BLOCK_SIZE)).cast("bigint"))
+
+
+def _block_schema(schema: T.StructType) -> T.StructType:
+    """Partition columns come last; a marker row has no values but those."""
+    plain = [T.StructField(f.name, f.dataType) for f in schema if f.name != "channel"]
+    return T.StructType([*plain, T.StructField("channel", T.StringType()), T.StructField("id_block", T.LongType())])
+
+
+def read_blocks(spark: SparkSession, path: str, schema: T.StructType, id_col: str) -> DataFrame:
+    """The table without its layout columns; empty if it was never written."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(_block_schema(schema)).parquet(path)
+    return rows.where(F.col(id_col).isNotNull()).select(*schema.fieldNames())
+
+
+def rewrite_blocks(spark: SparkSession, path: str, schema: T.StructType, id_col: str, touched: DataFrame,
+                   rewrite: Callable[[DataFrame], DataFrame], staging: str) -> None:
+    """Replace the blocks of the keys in ``touched`` by ``rewrite(their rows)``.
+
+    ``touched`` has ``channel`` and ``id_col``. The new blocks are first written to
+    ``staging`` and then replace their partitions from there. If the job dies in between,
+    calling it again with the same ``staging`` finds the finished rewrite and repeats only
+    the replacement, so no block is lost. Every block carries one marker row without a
+    key: a block that lost all its rows still replaces its old partition.
+    """
+    layout_schema = _block_schema(schema)
+    if not path_exists(spark, f"{staging}/_SUCCESS"):
+        blocks = _with_block(touched.select("channel", id_col), id_col).select(*LAYOUT).distinct()
+        if path_exists(spark, path):
+            stored = (spark.read.schema(layout_schema).parquet(path).where(F.col(id_col).isNotNull())
+                      .join(blocks, LAYOUT, "left_semi").select(*schema.fieldNames()))
+        else:
+            stored = spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+        rows = _with_block(rewrite(stored), id_col).select(*layout_schema.fieldNames())
+        (rows.unionByName(blocks, allowMissingColumns=True)
+         .write.mode("overwrite").partitionBy(*LAYOUT).parquet(staging))
+    (spark.read.schema(layout_schema).parquet(staging)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path))

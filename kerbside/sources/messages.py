@@ -1,24 +1,24 @@
-"""The raw message table: declared schema, block layout, CSV export."""
+"""The raw message table: declared schema, keyed merge, CSV export."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kerbside.operators.upsert import require_schema, upsert
 from kerbside.schemas import MESSAGE_COLUMNS, MESSAGE_KEYS, MESSAGE_SCHEMA
-from kerbside.sources.workspace import path_exists
-
-# Ids of one channel ascend, so new messages fall into the newest blocks.
-BLOCK_SIZE = 1_000_000
-
+from kerbside.sources.blocks import read_blocks, rewrite_blocks
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Raw messages under the declared columns; filters and columns reach the scan."""
     return spark.read.schema(MESSAGE_SCHEMA).parquet(path)
 
 
+def read_message_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``merge_messages`` keeps."""
+    return read_blocks(spark, path, MESSAGE_SCHEMA, "id")
+
+
 def write_csv(messages: DataFrame, path: str) -> None:
     """CSV with header and fixed column order; quotes doubled, white space kept, times
     with their +08:00 offset. One file per partition, each with its header."""
@@ -36,32 +36,8 @@ def write_csv(messages: DataFrame, path: str) -> None:
                     ignoreTrailingWhiteSpace=False).csv(path))
 
 
-def _with_block(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("id_block", F.floor(F.col("id") / F.lit(BLOCK_SIZE)).cast("bigint"))
-
-
-# Partition columns come last in a partitioned table.
-_BLOCK_SCHEMA = T.StructType(
-    [f for f in MESSAGE_SCHEMA if f.name != "channel"]
-    + [MESSAGE_SCHEMA["channel"], T.StructField("id_block", T.LongType())])
-_LAYOUT = ["channel", "id_block"]
-
-
 def merge_messages(spark: SparkSession, path: str, batch: DataFrame, staging: str) -> None:
-    """Upsert a batch into the table at ``path``, rewriting only the id blocks it touches.
-
-    The table is partitioned by (channel, id_block). The merged blocks are first written
-    to ``staging`` and then replace their partitions from there. If the job dies in
-    between, calling it again with the same ``staging`` finds the finished merge and
-    repeats only the replacement, so no block is lost.
-    """
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
-        merged = _with_block(require_schema(batch, MESSAGE_COLUMNS))
-        if path_exists(spark, path):
-            stored = (spark.read.schema(_BLOCK_SCHEMA).parquet(path)
-                      .join(merged.select(*_LAYOUT).distinct(), _LAYOUT, "left_semi"))
-            merged = _with_block(upsert(
-                stored.select(*MESSAGE_COLUMNS), merged.select(*MESSAGE_COLUMNS), MESSAGE_KEYS, ["topic_id"]))
-        merged.write.mode("overwrite").partitionBy(*_LAYOUT).parquet(staging)
-    (spark.read.schema(_BLOCK_SCHEMA).parquet(staging)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_LAYOUT).parquet(path))
+    """Upsert a batch, one row per message, into the table at ``path``; see ``rewrite_blocks``."""
+    batch = require_schema(batch, MESSAGE_COLUMNS)
+    rewrite_blocks(spark, path, MESSAGE_SCHEMA, "id", batch,
+                   lambda stored: upsert(stored, batch, MESSAGE_KEYS, ["topic_id"]), staging)
