@@ -13,7 +13,7 @@ from kerbside.functions import patterns as P
 from kerbside.schemas import DRIVER, HITCHER
 
 
-def _blank_to_null(c: Column) -> Column:
+def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
@@ -65,9 +65,20 @@ def classify_request(message: Column) -> Column:
 
 
 # --- labelled fields -------------------------------------------------------------
+# ``*_text`` leave "nothing" as ''. Turning '' into null mentions its argument twice and
+# so runs it twice, which matters for a regex: chains do it in a projection of their own.
+
+def line_text(message: Column, pattern: str) -> Column:
+    return F.trim(F.regexp_extract(message, pattern, 1))
+
+
+def unflagged_text(place: Column) -> Column:
+    unflagged = F.trim(F.regexp_replace(place, P.FLAG_LETTERS, ""))
+    return F.trim(F.regexp_replace(unflagged, P.TRAILING_DOTS, ""))
+
 
 def _labelled(message: Column, pattern: str) -> Column:
-    return _blank_to_null(F.trim(F.regexp_extract(message, pattern, 1)))
+    return blank_to_null(line_text(message, pattern))
 
 
 def extract_pickup(message: Column) -> Column:
@@ -82,19 +93,28 @@ def extract_time(message: Column) -> Column:
     return _labelled(message, P.TIME_LINE)
 
 
-def extract_pax_fields(message: Column) -> Column:
-    """struct<after, before, lo, hi>: the four ways a passenger count is written."""
-    def number(pattern: str) -> Column:
-        return _blank_to_null(F.regexp_extract(message, pattern, 1)).try_cast("int")
+def pax_texts(message: Column) -> Column:
+    """The four ways a passenger count is written, as text, '' where not found."""
+    patterns = {"after": P.PAX_AFTER_LABEL, "before": P.PAX_BEFORE_LABEL, "lo": P.PAX_RANGE_LOW, "hi": P.PAX_RANGE_HIGH}
+    return F.struct(*[F.regexp_extract(message, p, 1).alias(name) for name, p in patterns.items()])
+
 
-    return F.struct(
-        number(P.PAX_AFTER_LABEL).alias("after"), number(P.PAX_BEFORE_LABEL).alias("before"),
-        number(P.PAX_RANGE_LOW).alias("lo"), number(P.PAX_RANGE_HIGH).alias("hi"))
+def pax_numbers(texts: Column) -> Column:
+    """'' becomes null before the cast: a failing ``try_cast`` is slow."""
+    return F.struct(*[blank_to_null(texts[name]).try_cast("int").alias(name) for name in ("after", "before", "lo", "hi")])
+
+
+def extract_pax_fields(message: Column) -> Column:
+    """struct<after, before, lo, hi: int>"""
+    return pax_numbers(pax_texts(message))
 
 
 def resolve_pax(message: Column, fields: Column) -> Column:
     """One count in 1..10: labelled range -> lower midpoint; nothing written -> 1."""
-    lowered = F.lower(message)
+    return pax_of_lowered(F.lower(message), fields)
+
+
+def pax_of_lowered(lowered: Column, fields: Column) -> Column:
     lo, hi = fields["lo"], fields["hi"]
     single = F.coalesce(fields["after"], fields["before"])
     nothing = F.lit(None).cast("int")
@@ -110,8 +130,7 @@ def resolve_pax(message: Column, fields: Column) -> Column:
 
 def strip_flags(place: Column) -> Column:
     """Remove flag letters, then trailing dots; nothing left -> null."""
-    unflagged = F.trim(F.regexp_replace(place, P.FLAG_LETTERS, ""))
-    return _blank_to_null(F.trim(F.regexp_replace(unflagged, P.TRAILING_DOTS, "")))
+    return blank_to_null(unflagged_text(place))
 
 
 def collapse_border_route(place: Column) -> Column:
@@ -141,7 +160,7 @@ def squeeze_location(place: Column) -> Column:
 
 
 def normalize_location(place: Column) -> Column:
-    return _blank_to_null(squeeze_location(place))
+    return blank_to_null(squeeze_location(place))
 
 
 def postal_codes_in_text(text: Column) -> Column:

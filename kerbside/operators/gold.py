@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock, text
-from kerbside.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from kerbside.operators.joins import fits_broadcast, lookup_join
 from kerbside.operators.silver import lookback_filter
 from kerbside.operators.upsert import upsert
 from kerbside.schemas import GEOCODE_SUFFIXES, GOLD_COLUMNS
@@ -57,13 +57,15 @@ def rank_geocodes(cache: DataFrame, override_exclusive: bool = False) -> DataFra
     return ranked.select("normalized_location", *GEOCODE_SUFFIXES)
 
 
-def enrich_geocodes(requests: DataFrame, ranked: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def enrich_geocodes(requests: DataFrame, ranked: DataFrame, small: bool | None = None) -> DataFrame:
     """Left join the geocodes of both places; several per place multiply the request.
 
     Popular places make the join keys skewed. A geocode table of checked size is
-    broadcast (once, both joins share it); a larger one is joined with salted keys.
+    broadcast (once, both joins share it); a larger one is joined with salted keys. A
+    caller that has counted the table already passes the outcome as ``small``.
     """
-    small = fits_broadcast(ranked.select("normalized_location"), broadcast_rows)
+    if small is None:
+        small = fits_broadcast(ranked.select("normalized_location"))
     spread = F.concat_ws("#", "channel", "message_id")
     enriched = requests
     for side in ("pickup", "dropoff"):
@@ -83,6 +85,13 @@ def user_key() -> Column:
         F.concat(F.lit("unknown:"), "channel", F.lit("#"), F.col("message_id").cast("string")))
 
 
+def _geocoded(requests: DataFrame, cache: DataFrame) -> DataFrame:
+    """Requests with both geocodes and dedup keys. The cache bounds its ranking, and
+    counting stored rows is cheaper than ranking them twice."""
+    small = fits_broadcast(cache.where(F.col("resolution_status") == "resolved"))
+    return dedup_keys(enrich_geocodes(requests, rank_geocodes(cache), small))
+
+
 def dedup_keys(enriched: DataFrame) -> DataFrame:
     """Add who posted and, per side, the postal code or else the normalised place."""
     return enriched.withColumns({
@@ -147,7 +156,7 @@ def _project(deduplicated: DataFrame) -> DataFrame:
 
 def gold_requests(silver: DataFrame, cache: DataFrame, gap_hours: int = GAP_HOURS) -> DataFrame:
     """Full refresh of Gold."""
-    keyed = dedup_keys(enrich_geocodes(parsed_requests(silver), rank_geocodes(cache)))
+    keyed = _geocoded(parsed_requests(silver), cache)
     return _project(repost_dedup(keyed, gap_hours))
 
 
@@ -173,7 +182,7 @@ def gold_incremental(silver: DataFrame, cache: DataFrame, as_of: str | datetime
         .withColumn("_user", user_key()).withColumn("_slot", slot)
         .join(touched, ["_user", "_slot"], "left_semi").drop("_user", "_slot")
     )
-    keyed = dedup_keys(enrich_geocodes(neighbours, rank_geocodes(cache)))
+    keyed = _geocoded(neighbours, cache)
     changed = affected.select("silver_request_id").distinct()
     return _project(repost_dedup(keyed, gap_hours).join(changed, "silver_request_id", "left_semi"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock, text
+from kerbside.functions import patterns as P
 from kerbside.operators.upsert import upsert
 from kerbside.schemas import SILVER_COLUMNS, SILVER_KEYS
 
@@ -40,26 +41,31 @@ def latest_copy(messages: DataFrame, keys: Sequence[str] = ("channel", "id"),
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Classify, drop noise, then extract; each step is one projection, so no regex that
-    several columns depend on is evaluated twice, and noise never reaches extraction."""
+    several columns depend on is evaluated twice, and noise never reaches extraction.
+
+    ``stack`` of one row is a projection that a filter is not pushed through: otherwise
+    the optimizer copies the whole classification into the filter and runs it twice.
+    """
     m = F.col("message")
     requests = (
         messages.withColumn("_lowered", F.lower(F.trim(m)))
-        .withColumn("request_type", text.classify_lowered(F.col("_lowered")))
+        .select(*[c for c in messages.columns if c != "id"], F.col("id").alias("message_id"), "_lowered",
+                F.stack(F.lit(1), text.classify_lowered(F.col("_lowered"))).alias("request_type"))
         .where(F.col("request_type").isNotNull())
-        .withColumnRenamed("id", "message_id")
     )
     extracted = requests.select(
-        "*", text.extract_pickup(m).alias("_pickup"), text.extract_dropoff(m).alias("_dropoff"),
-        text.extract_time(m).alias("_time"), text.extract_pax_fields(m).alias("_pax"))
+        "*", text.line_text(m, P.PICKUP_LINE).alias("_pickup"), text.line_text(m, P.DROPOFF_LINE).alias("_dropoff"),
+        text.line_text(m, P.TIME_LINE).alias("_time"), text.pax_texts(m).alias("_pax_texts"))
     cleaned = extracted.select(
-        "*", text.strip_flags(F.col("_pickup")).alias("_pickup_place"),
-        text.strip_flags(F.col("_dropoff")).alias("_dropoff_place"))
+        "*", text.unflagged_text(F.col("_pickup")).alias("_pickup_place"),
+        text.unflagged_text(F.col("_dropoff")).alias("_dropoff_place"),
+        text.blank_to_null(F.col("_time")).alias("_time_text"), text.pax_numbers(F.col("_pax_texts")).alias("_pax"))
     parsed = cleaned.select(
         "*",
-        text.collapse_border_route(F.col("_pickup_place")).alias("pickup_location"),
-        text.collapse_border_route(F.col("_dropoff_place")).alias("dropoff_location"),
-        text.resolve_now(F.col("_time"), F.col("message_date_gmt8")).alias("request_time_text"),
-        text.resolve_pax(m, F.col("_pax")).alias("pax_count"))
+        text.collapse_border_route(text.blank_to_null(F.col("_pickup_place"))).alias("pickup_location"),
+        text.collapse_border_route(text.blank_to_null(F.col("_dropoff_place"))).alias("dropoff_location"),
+        text.resolve_now(F.col("_time_text"), F.col("message_date_gmt8")).alias("request_time_text"),
+        text.pax_of_lowered(F.col("_lowered"), F.col("_pax")).alias("pax_count"))
     return parsed.withColumn("parse_status", text.parse_status(
         F.col("pickup_location"), F.col("dropoff_location"), F.col("request_time_text"))).select(*SILVER_COLUMNS)
 

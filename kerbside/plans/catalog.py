@@ -88,11 +88,31 @@ class Tables:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return gold.dedup_keys(gold.enrich_geocodes(self.parsed, gold.rank_geocodes(self.cache)))
+        return gold.dedup_keys(gold.enrich_geocodes(gold.parsed_requests(self.silver_table), gold.rank_geocodes(self.cache)))
+
+    # Stored tables, as deployed: Gold reads Silver twice and serving reads Gold, so each is
+    # written once per query to the shared folder instead of being derived again.
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_folder(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def silver_table(self) -> DataFrame:
+        return self.stored(self.silver, "silver")
+
+    @cached_property
+    def first_silver_table(self) -> DataFrame:
+        return self.stored(silver.silver_requests(self.messages), "silver")
 
     @cached_property
     def gold(self) -> DataFrame:
-        return gold.gold_requests(self.silver, self.cache)
+        return gold.gold_requests(self.silver_table, self.cache)
+
+    @cached_property
+    def gold_table(self) -> DataFrame:
+        return self.stored(self.gold, "gold")
 
     @cached_property
     def plan(self) -> DataFrame:
@@ -267,8 +287,7 @@ def silver_requests(t: Tables) -> DataFrame:
 
 @query
 def silver_merge(t: Tables) -> DataFrame:
-    stored = silver.silver_requests(t.messages)
-    return silver.silver_merge(stored, silver.silver_requests(t.copies, AS_OF, MERGE_HOURS))
+    return silver.silver_merge(t.first_silver_table, silver.silver_requests(t.copies, AS_OF, MERGE_HOURS))
 
 
 # --- C: places -----------------------------------------------------------------------
@@ -339,12 +358,12 @@ def geocode_row(t: Tables) -> DataFrame:
 
 @query
 def geocode_run(t: Tables) -> DataFrame:
-    return _wall(geocode.geocode_run(t.silver, t.cache, t.gazetteer, _run_at()))
+    return _wall(geocode.geocode_run(t.silver_table, t.cache, t.gazetteer, _run_at()))
 
 
 @query
 def geocode_replace(t: Tables) -> DataFrame:
-    return _wall(geocode.geocode_replace(t.cache, geocode.geocode_run(t.silver, t.cache, t.gazetteer, _run_at())))
+    return _wall(geocode.geocode_replace(t.cache, geocode.geocode_run(t.silver_table, t.cache, t.gazetteer, _run_at())))
 
 
 @query
@@ -390,7 +409,7 @@ def override_audit(t: Tables) -> DataFrame:
 
 @query
 def override_audit_gold(t: Tables) -> DataFrame:
-    return geocode.override_audit_gold(t.gold, 100)
+    return geocode.override_audit_gold(t.gold_table, 100)
 
 
 # --- D: Gold -------------------------------------------------------------------------
@@ -447,51 +466,51 @@ def gold_requests(t: Tables) -> DataFrame:
 
 @query
 def gold_incremental(t: Tables) -> DataFrame:
-    return gold.gold_incremental(t.silver, t.cache, AS_OF, 48)
+    return gold.gold_incremental(t.silver_table, t.cache, AS_OF, 48)
 
 
 @query
 def gold_merge(t: Tables) -> DataFrame:
-    stored = gold.gold_requests(silver.silver_requests(t.messages), t.cache)
-    batch = gold.gold_incremental(t.silver, t.cache, AS_OF, MERGE_HOURS)
-    return gold.gold_merge(stored, batch, t.silver, AS_OF, MERGE_HOURS)
+    before = t.stored(gold.gold_requests(t.first_silver_table, t.cache), "gold")
+    batch = t.stored(gold.gold_incremental(t.silver_table, t.cache, AS_OF, MERGE_HOURS), "batch")
+    return gold.gold_merge(before, batch, t.silver_table, AS_OF, MERGE_HOURS)
 
 
 # --- E: serving ----------------------------------------------------------------------
 
 @query
 def recent_requests(t: Tables) -> DataFrame:
-    return serving.recent_requests(t.gold, AS_OF, 720)
+    return serving.recent_requests(t.gold_table, AS_OF, 720)
 
 
 @query
 def route_within(t: Tables) -> DataFrame:
-    return serving.route_within(t.gold)
+    return serving.route_within(t.gold_table)
 
 
 @query
 def route_cross_border(t: Tables) -> DataFrame:
-    return serving.route_cross_border(t.gold)
+    return serving.route_cross_border(t.gold_table)
 
 
 @query
 def rolling_counts(t: Tables) -> DataFrame:
-    return serving.rolling_counts(t.gold, AS_OF)
+    return serving.rolling_counts(t.gold_table, AS_OF)
 
 
 @query
 def live_counts(t: Tables) -> DataFrame:
-    return serving.live_counts(t.gold, AS_OF)
+    return serving.live_counts(t.gold_table, AS_OF)
 
 
 @query
 def daily_counts(t: Tables) -> DataFrame:
-    return serving.daily_counts(t.gold, AS_OF)
+    return serving.daily_counts(t.gold_table, AS_OF)
 
 
 @query
 def dashboard_rows(t: Tables) -> DataFrame:
-    return serving.dashboard_rows(t.gold, AS_OF)
+    return serving.dashboard_rows(t.gold_table, AS_OF)
 
 
 @query
@@ -500,44 +519,44 @@ def dashboard_metrics(t: Tables) -> DataFrame:
         return F.array_join(F.transform(points, lambda p: F.concat(
             p[label], F.lit("="), p["total_count"].cast("bigint").cast("string"))), ";")
 
-    metrics = serving.dashboard_metrics(serving.dashboard_rows(t.gold, AS_OF))
+    metrics = serving.dashboard_metrics(serving.dashboard_rows(t.gold_table, AS_OF))
     return (metrics.withColumn("daily_points", series("daily_points", "day_start_gmt8"))
             .withColumn("rolling_points", series("rolling_points", "bucket_start_gmt8")))
 
 
 @query
 def chart_downsample(t: Tables) -> DataFrame:
-    return serving.chart_downsample(serving.rolling_counts(t.gold, AS_OF))
+    return serving.chart_downsample(serving.rolling_counts(t.gold_table, AS_OF))
 
 
 @query
 def unique_request_count(t: Tables) -> DataFrame:
-    return serving.unique_request_count(t.gold, AS_OF, 720, DRIVER)
+    return serving.unique_request_count(t.gold_table, AS_OF, 720, DRIVER)
 
 
 @query
 def latest_request_time(t: Tables) -> DataFrame:
-    return serving.latest_request_time(t.gold, AS_OF, 720, HITCHER)
+    return serving.latest_request_time(t.gold_table, AS_OF, 720, HITCHER)
 
 
 @query
 def recent_summary(t: Tables) -> DataFrame:
-    return serving.recent_summary(t.gold, AS_OF, 5000, serving.CROSS_BORDER, 20)
+    return serving.recent_summary(t.gold_table, AS_OF, 5000, serving.CROSS_BORDER, 20)
 
 
 @query
 def map_nodes(t: Tables) -> DataFrame:
-    return serving.map_nodes(serving.recent_requests(t.gold, AS_OF, 43_200), AS_OF)
+    return serving.map_nodes(serving.recent_requests(t.gold_table, AS_OF, 43_200), AS_OF)
 
 
 @query
 def map_node_requests(t: Tables) -> DataFrame:
-    return serving.map_node_requests(serving.recent_requests(t.gold, AS_OF, 43_200))
+    return serving.map_node_requests(serving.recent_requests(t.gold_table, AS_OF, 43_200))
 
 
 @query
 def recency_score(t: Tables) -> DataFrame:
-    return t.gold.select("gold_request_id", clock.recency_score(F.col("message_date_gmt8"), AS_OF).alias("recency_score"))
+    return t.gold_table.select("gold_request_id", clock.recency_score(F.col("message_date_gmt8"), AS_OF).alias("recency_score"))
 
 
 @query
@@ -549,7 +568,7 @@ def service_hours_filter(t: Tables) -> DataFrame:
 
 @query
 def dq_not_null(t: Tables) -> DataFrame:
-    checked = {"bronze": t.copies, "geocodes": t.cache, "silver": t.silver, "gold": t.gold}
+    checked = {"bronze": t.copies, "geocodes": t.cache, "silver": t.silver_table, "gold": t.gold}
     parts = [quality.dq_not_null(df, quality.NOT_NULL[name]).select(F.lit(name).alias("table_name"), "*")
              for name, df in checked.items()]
     parts.append(quality.dq_not_null(t.copies, ["topic_id", "sender_handle"]).select(F.lit("optional").alias("table_name"), "*"))

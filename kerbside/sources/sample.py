@@ -143,10 +143,17 @@ SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'KSL   City' WHEN s_suppkey % 5 = 1 THEN
   TIMESTAMP '2024-01-05 00:00:00' + INTERVAL '1' DAY * (s_suppkey % 11) AS updated_at
 FROM {supplier}"""
 
-_TABLES = ("events", "customer", "supplier", "part", "region")
+_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint",
+    "customer": "c_custkey bigint",
+    "supplier": "s_suppkey bigint",
+    "part": "p_partkey bigint",
+    "region": "r_regionkey int",
+}
 
 
 def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """One sample table; only the test tables its text names are read."""
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES if f"{{{t}}}" in sql}
+    """One sample table; only the test tables and columns its text names are read."""
+    used = {name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+            for name, schema in _TABLES.items() if f"{{{name}}}" in sql}
     return spark.sql(sql, **used)
