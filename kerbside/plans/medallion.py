@@ -14,7 +14,7 @@ from kerbside.schemas import (GEOCODE_SCHEMA, GOLD_SCHEMA, MESSAGE_COLUMNS, MESS
 from kerbside.sources.blocks import read_blocks, rewrite_blocks
 from kerbside.sources.messages import merge_messages, read_message_table
 from kerbside.sources.snapshots import read_snapshot, write_snapshot
-from kerbside.sources.workspace import path_exists
+from kerbside.sources.workspace import is_finished, mark_finished
 
 
 @dataclass(frozen=True)
@@ -42,10 +42,11 @@ def ingest_run(spark: SparkSession, layout: Layout, remote: DataFrame, sources:
     """
     page_path, plan_path = layout.at(f"fetched/{run_id}/page"), layout.at(f"fetched/{run_id}/plan")
     state = read_snapshot(spark, layout.at("state"), STATE_SCHEMA)
-    if not path_exists(spark, f"{plan_path}/_SUCCESS"):
+    if not is_finished(spark, plan_path):
         plan = ingest.source_plan(sources, state, per_run, page)
         ingest.scan_sources(remote, plan, limited=bool(per_run or page)).write.mode("overwrite").parquet(page_path)
         plan.write.mode("overwrite").parquet(plan_path)
+        mark_finished(spark, plan_path)
     plan, scanned = spark.read.parquet(plan_path), spark.read.parquet(page_path)
     fetched = ingest.since_year_filter(scanned, since_year)
     newest = silver.newest_per_key(fetched.select(*MESSAGE_COLUMNS), MESSAGE_KEYS, "scraped_at_gmt8")

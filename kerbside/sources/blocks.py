@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.sources.workspace import path_exists
+from kerbside.sources.workspace import is_finished, mark_finished, path_exists
 
 BLOCK_SIZE = 1_000_000
 LAYOUT = ["channel", "id_block"]
@@ -47,7 +47,7 @@ def rewrite_blocks(spark: SparkSession, path: str, schema: T.StructType, id_col:
     key: a block that lost all its rows still replaces its old partition.
     """
     layout_schema = _block_schema(schema)
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
+    if not is_finished(spark, staging):
         blocks = _with_block(touched.select("channel", id_col), id_col).select(*LAYOUT).distinct()
         if path_exists(spark, path):
             stored = (spark.read.schema(layout_schema).parquet(path).where(F.col(id_col).isNotNull())
@@ -56,6 +56,7 @@ def rewrite_blocks(spark: SparkSession, path: str, schema: T.StructType, id_col:
             stored = spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
         rows = _with_block(rewrite(stored), id_col).select(*layout_schema.fieldNames())
         (rows.unionByName(blocks, allowMissingColumns=True)
-         .write.mode("overwrite").partitionBy(*LAYOUT).parquet(staging))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*LAYOUT).parquet(staging))
+        mark_finished(spark, staging)
     (spark.read.schema(layout_schema).parquet(staging)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path))

@@ -6,17 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from kerbside.sources.workspace import path_exists
+from kerbside.sources.workspace import folder_names, is_finished, mark_finished
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
     """Highest finished version below ``root``, 0 if there is none."""
-    if not path_exists(spark, root):
-        return 0
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
-    done = [int(n[2:]) for n in names if n.startswith("v=") and path_exists(spark, f"{root}/{n}/_SUCCESS")]
-    return max(done, default=0)
+    names = [n for n in folder_names(spark, root) if n.startswith("v=") and is_finished(spark, f"{root}/{n}")]
+    return max((int(n[2:]) for n in names), default=0)
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -30,4 +26,5 @@ def write_snapshot(df: DataFrame, root: str) -> int:
     """Write the next version; an unfinished one of the same number is replaced."""
     version = latest_version(df.sparkSession, root) + 1
     df.write.mode("overwrite").parquet(f"{root}/v={version}")
+    mark_finished(df.sparkSession, f"{root}/v={version}")
     return version

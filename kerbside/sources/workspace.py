@@ -23,6 +23,30 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    files, hadoop_path = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(hadoop_path)] if files.exists(hadoop_path) else []
+
+
+# A folder counts as finished only with this mark. Spark's own success file depends on
+# settings: a dynamic partition overwrite, for one, leaves none.
+_MARK = "_FINISHED"
+
+
+def mark_finished(spark: SparkSession, path: str) -> None:
+    files, mark = _file_system(spark, f"{path}/{_MARK}")
+    files.create(mark, True).close()
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/{_MARK}")
