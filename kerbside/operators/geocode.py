@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import patterns as P
 from kerbside.functions import text
+from kerbside.operators.joins import union_all
 from kerbside.operators.upsert import replace_by_key, upsert
 from kerbside.schemas import GEOCODE_COLUMNS, GEOCODE_SCHEMA, OVERRIDE_COLUMNS
 
@@ -273,7 +274,7 @@ def apply_overrides(cache: DataFrame, overrides: DataFrame, now: Column) -> Data
         for c in GEOCODE_COLUMNS])
     added = latest.join(cache, "normalized_location", "left_anti").select(*[
         fixed[c].alias(c) if c in fixed else F.col("normalized_location").alias(c) for c in GEOCODE_COLUMNS])
-    return rewritten.unionByName(added)
+    return union_all(rewritten, added)
 
 
 def town_queries(spark) -> DataFrame:

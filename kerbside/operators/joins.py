@@ -29,3 +29,17 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, small: bool, spread
     salts = F.explode(F.array(*[F.lit(n).cast("bigint") for n in range(SALTS)]))
     salted_right = right.withColumn("_salt", salts)
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+
+
+def union_all(first: DataFrame, *rest: DataFrame, allow_missing: bool = False) -> DataFrame:
+    """Union by name, planned as a plain concatenation.
+
+    Spark 4.1 may zip the partitions of inputs that are hashed the same way. That fails
+    when adaptive execution has merged the partitions of one input and not of the other
+    ("Can't zip RDDs with unequal numbers of partitions"), so the feature is turned off.
+    """
+    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    whole = first
+    for df in rest:
+        whole = whole.unionByName(df, allowMissingColumns=allow_missing)
+    return whole

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import clock, text
 from kerbside.functions import patterns as P
 from kerbside.functions.clock import ntz, wall_micros
+from kerbside.operators.joins import union_all
 from kerbside.schemas import DRIVER, FEED_COLUMNS, HITCHER, REQUEST_TYPES
 
 AsOf = str | datetime
@@ -205,12 +206,11 @@ def dashboard_rows(gold: DataFrame, as_of: AsOf) -> DataFrame:
             bucket.cast("string").alias("bucket_start_gmt8"), F.col("total_count").cast("double").alias("metric_value"))
 
     none = F.lit(None)
-    return (
-        rows("rolling", rolling_counts(gold, as_of), F.col("window_hours"), F.col("bucket_start"))
-        .unionByName(rows("live_15m", live_counts(gold, as_of), none, none))
-        .unionByName(rows("daily_total", daily_counts(gold, as_of), none, F.col("day_start")))
-        .orderBy("metric", "request_type", "window_hours", "bucket_start_gmt8")
-    )
+    return union_all(
+        rows("rolling", rolling_counts(gold, as_of), F.col("window_hours"), F.col("bucket_start")),
+        rows("live_15m", live_counts(gold, as_of), none, none),
+        rows("daily_total", daily_counts(gold, as_of), none, F.col("day_start")),
+    ).orderBy("metric", "request_type", "window_hours", "bucket_start_gmt8")
 
 
 def dashboard_metrics(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.operators.joins import union_all
+
 
 class SchemaMismatch(ValueError):
     """A table does not have exactly the declared columns."""
@@ -86,4 +88,4 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         kept = (target.join(hit, keys, "left")
                 .where(F.col("_hit").isNull() | F.coalesce(protect, F.lit(True)))
                 .drop("_hit"))
-    return kept.select(*target.columns).unionByName(batch)
+    return union_all(kept.select(*target.columns), batch)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from kerbside.functions import clock, text
 from kerbside.operators import geocode, gold, ingest, quality, serving, silver, upsert
+from kerbside.operators.joins import union_all
 from kerbside.schemas import (DRIVER, GOLD_SCHEMA, HITCHER, MESSAGE_COLUMNS, MESSAGE_KEYS, PAX_COUNTS,
                               RESOLUTION_STATUSES)
 from kerbside.sources import sample
@@ -394,7 +395,7 @@ def overrides_upsert(t: Tables) -> DataFrame:
     batch = (reviewed.where(F.col("postal_code").cast("bigint") % 3 == 0)
              .withColumn("notes", F.lit("rebuilt")).withColumn("updated_at", _run_at()))
     built = geocode.build_overrides(geocode.town_queries(t.spark), t.gazetteer, _run_at())[0]
-    return _wall(geocode.overrides_upsert(reviewed, batch.unionByName(built)))
+    return _wall(geocode.overrides_upsert(reviewed, union_all(batch, built)))
 
 
 @query
@@ -572,10 +573,7 @@ def dq_not_null(t: Tables) -> DataFrame:
     parts = [quality.dq_not_null(df, quality.NOT_NULL[name]).select(F.lit(name).alias("table_name"), "*")
              for name, df in checked.items()]
     parts.append(quality.dq_not_null(t.copies, ["topic_id", "sender_handle"]).select(F.lit("optional").alias("table_name"), "*"))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return union_all(*parts)
 
 
 @query
@@ -587,8 +585,8 @@ def dq_unique(t: Tables) -> DataFrame:
 def dq_accepted_values(t: Tables) -> DataFrame:
     few = quality.dq_accepted_values(t.silver, "pax_count", PAX_COUNTS[:5], F.col("pax_count").isNotNull())
     status = quality.dq_accepted_values(t.cache, "resolution_status", RESOLUTION_STATUSES[:2])
-    return (few.select(F.lit("pax_count").alias("column_name"), F.col("value").cast("string").alias("value"), "row_count")
-            .unionByName(status.select(F.lit("resolution_status").alias("column_name"), "value", "row_count")))
+    return union_all(few.select(F.lit("pax_count").alias("column_name"), F.col("value").cast("string").alias("value"), "row_count"),
+                     status.select(F.lit("resolution_status").alias("column_name"), "value", "row_count"))
 
 
 @query

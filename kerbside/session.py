@@ -9,6 +9,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.unionOutputPartitioning": "false",  # see operators.joins.union_all
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }
 

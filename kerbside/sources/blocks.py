@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.joins import union_all
 from kerbside.sources.workspace import is_finished, mark_finished, path_exists
 
 BLOCK_SIZE = 1_000_000
@@ -55,7 +56,7 @@ def rewrite_blocks(spark: SparkSession, path: str, schema: T.StructType, id_col:
         else:
             stored = spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
         rows = _with_block(rewrite(stored), id_col).select(*layout_schema.fieldNames())
-        (rows.unionByName(blocks, allowMissingColumns=True)
+        (union_all(rows, blocks, allow_missing=True)
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*LAYOUT).parquet(staging))
         mark_finished(spark, staging)
     (spark.read.schema(layout_schema).parquet(staging)
