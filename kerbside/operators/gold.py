@@ -61,7 +61,7 @@ def enrich_geocodes(requests: DataFrame, ranked: DataFrame, small: bool | None =
     """Left join the geocodes of both places; several per place multiply the request.
 
     Popular places make the join keys skewed. A geocode table of checked size is
-    broadcast (once, both joins share it); a larger one is joined with salted keys. A
+    broadcast (once, both joins share it); a larger one is joined with hot keys split. A
     caller that has counted the table already passes the outcome as ``small``.
     """
     if small is None:

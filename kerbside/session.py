@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Parsing text is bound by CPU: let small shuffles keep all cores busy.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.unionOutputPartitioning": "false",  # see operators.joins.union_all
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",

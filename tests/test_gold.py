@@ -97,14 +97,30 @@ def test_ranking_is_limited_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan
 
 
-def test_a_large_geocode_table_gives_the_same_rows_with_salted_keys(spark):
+@pytest.mark.parametrize(("floor", "share"), [(100_000, 1 / 10_000), (5, 1 / 50), (0, 1 / 3)])
+def test_a_large_geocode_table_gives_the_same_rows_with_split_keys(spark, monkeypatch, floor, share):
+    monkeypatch.setattr(joins, "HOT_FLOOR", floor)
+    monkeypatch.setattr(joins, "HOT_SHARE", share)
     t = Tables(spark, SF)
-    parsed, ranked = t.parsed, gold.rank_geocodes(t.cache)
+    parsed, ranked = gold.parsed_requests(t.silver_table), gold.rank_geocodes(t.cache)
     small, large = gold.enrich_geocodes(parsed, ranked, True), gold.enrich_geocodes(parsed, ranked, False)
     assert small.columns == large.columns and rows(small) == rows(large)
-    plan = explained(large)
-    assert "_salt" in plan
-    assert joins.fits_broadcast(ranked, 10) is False and joins.fits_broadcast(ranked, 10_000) is True
+
+
+def test_a_hot_key_is_dealt_to_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_FLOOR", 10)
+    left = spark.createDataFrame([("hot" if n % 3 else f"k{n}", n) for n in range(900)] + [(None, -1)], "k string, n int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k0", 3), ("gone", 4)], "k string, v int")
+    for how in ("left", "inner"):
+        plain, split = left.join(right, "k", how), joins.lookup_join(left, right, "k", False, F.col("n"), how)
+        assert rows(plain) == rows(split)
+    monkeypatch.setattr(joins, "HOT_SHARE", 1 / 10)
+    assert rows(left.join(right, "k")) == rows(joins.lookup_join(left, right, "k", False, F.col("n"), "inner"))
+
+
+def test_the_size_of_a_lookup_is_checked(spark):
+    table = spark.range(100)
+    assert joins.fits_broadcast(table, 99) is False and joins.fits_broadcast(table, 100) is True
 
 
 def test_gold_columns_and_identity(spark):
