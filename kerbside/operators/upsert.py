@@ -41,10 +41,12 @@ def require_schema(df: DataFrame, expected: Sequence[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           coalesce_cols: Sequence[str] = ()) -> DataFrame:
+           coalesce_cols: Sequence[str] = (), order_col: str | None = None) -> DataFrame:
     """MERGE on ``keys``: matched rows take the source's values, new rows are added.
 
-    ``coalesce_cols`` keep the target's value where the source has null. Two source rows
+    ``coalesce_cols`` keep the target's value where the source has null. With ``order_col``
+    a source row older than its target row changes nothing else, so that the order in
+    which batches arrive does not matter. Two source rows
     for one target row raise, as MERGE does; two source rows for a new key are both added.
     Both exchanges hash the keys, so the duplicate check moves only the source's keys.
     """
@@ -59,11 +61,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                .drop("_copies"))
     t, s = checked.alias("t"), source.withColumn("_s", F.lit(True)).alias("s")
 
+    source_wins = F.col("s._s")
+    if order_col:
+        source_wins = source_wins & F.coalesce(F.col(f"s.`{order_col}`") >= F.col(f"t.`{order_col}`"), F.lit(True))
+
     def merged(name: str) -> Column:
         new, old = F.col(f"s.`{name}`"), F.col(f"t.`{name}`")
         if name in coalesce_cols:
-            return F.coalesce(new, old).alias(name)
-        return F.when(F.col("s._s"), new).when(F.col("t._t"), old).alias(name)
+            return F.when(source_wins, F.coalesce(new, old)).otherwise(F.coalesce(old, new)).alias(name)
+        return F.when(source_wins, new).otherwise(old).alias(name)
 
     matched = [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys]
     # The filter is always true; it reads "_t" on every target row, so the check runs.

@@ -36,8 +36,9 @@ def write_csv(messages: DataFrame, path: str) -> None:
                     ignoreTrailingWhiteSpace=False).csv(path))
 
 
-def merge_messages(spark: SparkSession, path: str, batch: DataFrame, staging: str) -> None:
-    """Upsert a batch, one row per message, into the table at ``path``; see ``rewrite_blocks``."""
+def merge_messages(spark: SparkSession, path: str, batch: DataFrame, staging: str, order_col: str | None = None) -> None:
+    """Upsert a batch, one row per message, into the table at ``path``; see ``rewrite_blocks``
+    for ``staging`` and ``upsert`` for ``order_col``."""
     batch = require_schema(batch, MESSAGE_COLUMNS)
     rewrite_blocks(spark, path, MESSAGE_SCHEMA, "id", batch,
-                   lambda stored: upsert(stored, batch, MESSAGE_KEYS, ["topic_id"]), staging)
+                   lambda stored: upsert(stored, batch, MESSAGE_KEYS, ["topic_id"], order_col), staging)

@@ -29,11 +29,12 @@ def stream_bronze_upsert(stream: DataFrame, path: str, checkpoint: str, trigger:
 
     The stream's checkpoint replaces stored high-water marks. A batch that is repeated
     after a failure uses the same staging folder and gives the same table. Several copies
-    of a message within one batch are reduced to the newest first.
+    of a message within one batch are reduced to the newest first, and an older copy that
+    arrives in a later batch does not replace a newer one: files come in no fixed order.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         newest = newest_per_key(batch.select(*MESSAGE_COLUMNS), MESSAGE_KEYS, "scraped_at_gmt8")
-        merge_messages(batch.sparkSession, path, newest, f"{checkpoint}/staged/batch={batch_id}")
+        merge_messages(batch.sparkSession, path, newest, f"{checkpoint}/staged/batch={batch_id}", "scraped_at_gmt8")
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{checkpoint}/progress")
             .trigger(**(trigger or {"processingTime": "15 minutes"})).start())

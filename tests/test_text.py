@@ -83,7 +83,7 @@ def test_missing_fields(spark):
 
 def test_identifiers(spark):
     assert apply(spark, text.canonical_channel, ["RideGroup", "Ridegroup", " @RideGroup ", "@@x"]) == ["ridegroup"] * 3 + ["x"]
-    assert apply(spark, text.sender_handle, ["gerald", "@gerald", "@@g", "", None]) == ["@gerald", "@gerald", "@g", None, None]
+    assert apply(spark, text.sender_handle, ["mina", "@mina", "@@g", "", None]) == ["@mina", "@mina", "@g", None, None]
 
 
 def test_places(spark):

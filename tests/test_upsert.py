@@ -20,6 +20,13 @@ def test_matched_rows_take_the_source_and_keep_a_known_topic(spark, target):
     assert rows(upsert(once, source, ["channel", "id"], ["topic_id"])) == want
 
 
+def test_an_older_source_row_only_fills_a_gap(spark):
+    target = spark.createDataFrame([("a", 5, None, "now"), ("b", 5, 1, "now")], "k string, at int, topic int, m string")
+    source = spark.createDataFrame([("a", 4, 9, "before"), ("b", 5, None, "again"), ("c", 1, None, "new")], target.schema)
+    assert rows(upsert(target, source, ["k"], ["topic"], "at")) == sorted(
+        [("a", 5, 9, "now"), ("b", 5, 1, "again"), ("c", 1, None, "new")], key=repr)
+
+
 def test_two_source_rows_for_one_target_row_raise(spark, target):
     source = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, "y")], SCHEMA)
     with pytest.raises(Exception, match="several source rows match"):
