@@ -20,7 +20,7 @@ from kerbside.schemas import (DRIVER, GOLD_SCHEMA, HITCHER, MESSAGE_COLUMNS, MES
 from kerbside.sources import sample
 from kerbside.sources.messages import read_message_table, read_messages, write_csv
 from kerbside.sources.sample import AS_OF
-from kerbside.sources.workspace import new_folder
+from kerbside.sources.workspace import new_folder, stored
 from kerbside.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,9 +95,7 @@ class Tables:
     # written once per query to the shared folder instead of being derived again.
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
-        path = new_folder(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored(df, name)
 
     @cached_property
     def silver_table(self) -> DataFrame:

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+class NoSharedFolder(RuntimeError):
+    """The cluster names no folder that all its machines see."""
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Only where it is unset, as
-    in tests, a new local folder is made and set for the session."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Where it is unset, a
+    single-process session (``local[...]``, as in tests) gets a new local folder; a cluster
+    does not, since each of its machines would see only its own files there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all machines of {master or 'the cluster'} share")
         folder = tempfile.mkdtemp(prefix="kerbside-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -23,6 +32,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh path and read back: its lineage ends there, so a lost
+    executor costs the reading of a few files and not the work behind them."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
