@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup
+from kerbside.llm import exact_dedup, packing
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +19,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup,)}
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens."""
+    return packing.packed_pieces(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+QUERIES = {f.__name__: f for f in (op5_exact_dedup, op6_packing)}
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": """
