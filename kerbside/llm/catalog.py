@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import exact_dedup, packing
+from kerbside.llm import exact_dedup, packing, pii
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans by patterns, further ones by the random field trained on their contexts."""
+    documents = _table(spark, sf_dir, "documents")
+    return pii.base_digest(pii.find_pii(documents, pii.fit(documents)))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the largest doc_id stays."""
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
@@ -24,7 +30,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup, op6_packing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op5_exact_dedup, op6_packing)}
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": """
