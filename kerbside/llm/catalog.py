@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import exact_dedup, packing, pii
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens."""
-    return packing.packed_pieces(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.packed_pieces(_table(spark, sf_dir, "documents"), *TOKENIZER)
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op5_exact_dedup, op6_packing)}

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow.parquet
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -13,7 +14,8 @@ from kerbside.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-ENCODER = packing.WordCachingEncoder(PATH)
+FILES = (PATH, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+ENCODER = packing.Encoder(*FILES)
 
 
 def plain_ids(text):
@@ -34,6 +36,18 @@ def test_any_text_is_encoded_alike(text):
     assert np.frombuffer(ENCODER.ids(text), "<u4").tolist() == plain_ids(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([bytes([b]).decode("latin-1") for b in range(256)] + ["ab", "the ", " '"]), max_size=40).map("".join))
+def test_latin_texts_are_encoded_alike(text):
+    assert np.frombuffer(ENCODER.ids(text), "<u4").tolist() == plain_ids(text)
+
+
+def test_documents_are_encoded_alike():
+    table = pyarrow.parquet.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    for text in table.column("text").to_pylist():
+        assert ENCODER.ids(text) == np.array(plain_ids(text), "<u4").tobytes()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=40), st.integers(1, 16))
 def test_pieces_cover_each_document_and_fill_sequences(lengths, capacity):
@@ -65,7 +79,7 @@ def test_query_rows(spark):
     rows = [(1, "a b  c " * 900, "x"), (2, None, "y"), (3, "", None), (4, "word", "z"), (4, "word", "z"), (None, "no id", "q"),
             (7, "y" * 30_000, "long")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, length string").repartition(2)
-    got = packing.packed_pieces(docs, PATH, buffer_tokens=3000, with_ids=True).collect()
+    got = packing.packed_pieces(docs, *FILES, buffer_tokens=3000, with_ids=True).collect()
     want = {}
     for doc_id, text, _ in rows:
         want.setdefault(doc_id, []).append(plain_ids(text or "") + [1])
