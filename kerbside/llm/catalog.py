@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, packing, pii
+from kerbside.llm import exact_dedup, language_id, packing, pii
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -20,6 +21,14 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.base_digest(pii.find_pii(documents, pii.fit(documents)))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out fold."""
+    documents = _table(spark, sf_dir, "documents")
+    fold = language_id.held_out(F.col("doc_id"))
+    found = language_id.predict(documents, language_id.fit(documents.filter(~fold)))
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the largest doc_id stays."""
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
@@ -30,7 +39,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(_table(spark, sf_dir, "documents"), *TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op5_exact_dedup, op6_packing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op4_language_id, op5_exact_dedup, op6_packing)}
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": """
