@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, language_id, packing, pii, simhash_golay
+from kerbside.llm import exact_dedup, fuzzy_lines, language_id, packing, pii, simhash_golay
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -39,12 +39,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(_table(spark, sf_dir, "documents"), *TOKENIZER)
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every compared line with the occurrence of its group that stays."""
+    return fuzzy_lines.line_groups(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of three-word shingle fingerprints within three bits."""
     return simhash_golay.near_duplicates(_table(spark, sf_dir, "documents"), 3, 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op4_language_id, op5_exact_dedup, op6_packing, op9_simhash_golay)}
+QUERIES = {f.__name__: f for f in (op1_pii, op4_language_id, op5_exact_dedup, op6_packing, op8_fuzzy_lines, op9_simhash_golay)}
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": """
