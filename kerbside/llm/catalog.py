@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, fuzzy_lines, language_id, packing, pii, simhash_golay
+from kerbside.llm import decontamination, exact_dedup, fuzzy_lines, language_id, packing, pii, simhash_golay
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -49,7 +49,12 @@ def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_table(spark, sf_dir, "documents"), 3, 3)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op4_language_id, op5_exact_dedup, op6_packing, op8_fuzzy_lines, op9_simhash_golay)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items they hold."""
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op4_language_id, op5_exact_dedup, op6_packing, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": """
