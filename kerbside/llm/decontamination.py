@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from kerbside.sources.workspace import stored
+
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 19
@@ -247,5 +249,5 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, **options)
     """``documents`` that hold no benchmark item. All columns stay; a document without
     identifier stays, since no row can name it."""
     doc_id = options.get("doc_id", "doc_id")
-    found = contaminated(documents, benchmark, **options).select(F.col("doc_id").alias(doc_id)).distinct()
+    found = stored(contaminated(documents, benchmark, **options).select(F.col("doc_id").alias(doc_id)).distinct(), "contaminated")
     return documents.join(found, doc_id, "left_anti").select(*documents.columns)
