@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontamination, exact_dedup, fuzzy_lines, language_id, packing, pii, simhash_golay
+from kerbside.llm import decontamination, exact_dedup, fuzzy_lines, katz, language_id, packing, pii, simhash_golay
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -21,6 +21,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.base_digest(pii.find_pii(documents, pii.fit(documents)))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram Katz score of every document, learned outside the held-out fold."""
+    fold = katz.held_out(F.col("doc_id"))
+    found = katz.score_documents(_table(spark, sf_dir, "documents"), ~fold)
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the held-out fold."""
     documents = _table(spark, sf_dir, "documents")
@@ -54,7 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op4_language_id, op5_exact_dedup, op6_packing, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op4_language_id, op5_exact_dedup, op6_packing, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": """
