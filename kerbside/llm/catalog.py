@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontamination, exact_dedup, fuzzy_lines, katz, language_id, packing, pii, simhash_golay
+from kerbside.llm import chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, packing, pii, simhash_golay
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -28,6 +28,11 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that begin no longer one, rendered."""
+    return chat.rendered(_table(spark, sf_dir, "conversations"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the held-out fold."""
     documents = _table(spark, sf_dir, "documents")
@@ -46,6 +51,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(_table(spark, sf_dir, "documents"), *TOKENIZER)
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, taken as a file of its source's tree."""
+    documents = _table(spark, sf_dir, "documents")
+    files = documents.select(F.col("doc_id").alias("file"), licenses.document_path(F.col("doc_id"), F.col("source")).alias("path"), "text")
+    return licenses.scan(files).withColumnRenamed("file", "doc_id")
+
+
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every compared line with the occurrence of its group that stays."""
     return fuzzy_lines.line_groups(_table(spark, sf_dir, "documents"))
@@ -61,9 +73,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op4_language_id, op5_exact_dedup, op6_packing, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
+    "op3_chat": chat.ORACLE,
     "op5_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
