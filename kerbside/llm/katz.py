@@ -43,8 +43,8 @@ from xxhash import xxh64_intdigest
 from kerbside.sources.workspace import stored
 
 LARGEST = 5  # counts above are not discounted by Good-Turing
-CHUNK_TOKENS = 2 << 20
-BUCKET_ITEMS = 2 << 20  # n-grams that meet in a bucket, about
+CHUNK_TOKENS = 1 << 20
+BUCKET_ITEMS = 1 << 20  # n-grams that meet in a bucket, about
 
 _END = b"\n"  # no word
 _WORD, _PAIR = 1, 2
@@ -132,6 +132,12 @@ class Chunk:
         return keys, first, place
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row at a time: a chunk is large."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 # --- exchanges --------------------------------------------------------------------------
 
 
@@ -157,7 +163,7 @@ _REQUESTS = "kind int, bucket int, chunk long, keys binary, counts binary"
 
 def _request_batches(batches: Iterable[pa.RecordBatch], buckets: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             chunk = Chunk.of(row)
             counted = chunk.learned[chunk.document]
             keys, _, place = chunk.pairs()
@@ -259,7 +265,7 @@ def _aligned(row: dict, kind: int) -> np.ndarray:
 
 def _evaluate_batches(batches: Iterable[pa.RecordBatch], totals: Totals, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             yield from _evaluate(Chunk.of(row), _aligned(row, _WORD), _aligned(row, _PAIR), totals, buckets)
 
 
