@@ -175,13 +175,15 @@ _BAD_COORDINATES = "hit without usable coordinates"
 
 
 def _resolve(attempts: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Join every attempt with its query once, then settle each location or code.
+    """Join every attempt with its query once, then settle each location or code. Of the
+    gazetteer, only rows of attempted queries are aggregated.
 
     A place stops at its first resolved or ambiguous attempt, else its last attempt
     counts. A postal code is always settled by itself: a miss is stored as a rule result
     without coordinates and so is not tried again.
     """
-    looked_up = attempts.join(_queries(gazetteer), "query", "left")
+    tried = gazetteer.join(attempts.select("query").distinct(), "query", "left_semi")
+    looked_up = attempts.join(_queries(tried), "query", "left")
     status = F.coalesce("status", F.lit("no_match"))
     count = F.coalesce("result_count", F.lit(0))
     attempt = F.struct("pos", status.alias("status"), count.alias("count"), "place_hit", "postal_hit")
@@ -226,13 +228,15 @@ def resolve_postals(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     return _resolve(_attempts(locations, ("postal",)), gazetteer)
 
 
-def geocode_row(resolved: DataFrame, attempted_at: Column) -> DataFrame:
-    """The 13 cache columns: typed coordinates, reason cut at 1000 characters, stamps."""
+def geocode_row(resolved: DataFrame, attempted_at: Column, reason_length: int | None = None) -> DataFrame:
+    """The 13 cache columns: typed coordinates, stamps, and the reason, whole unless a
+    length is asked for."""
     stamp = attempted_at.cast("timestamp")
     kind = {f.name: f.dataType for f in GEOCODE_SCHEMA}
     plain = [F.col(c).try_cast(kind[c]).alias(c) for c in _RESULT_COLUMNS if c != "error_message"]
+    reason = F.col("error_message") if reason_length is None else F.substring("error_message", 1, reason_length)
     shaped = resolved.select(
-        *plain, F.substring("error_message", 1, 1000).alias("error_message"), stamp.alias("attempted_at"),
+        *plain, reason.alias("error_message"), stamp.alias("attempted_at"),
         F.when(F.col("resolution_status") == "resolved", stamp).alias("resolved_at"))
     return shaped.select(*GEOCODE_COLUMNS)
 
@@ -321,9 +325,12 @@ def override_audit(cache: DataFrame) -> DataFrame:
             .orderBy("normalized_location", "postal_code"))
 
 
-def override_audit_gold(gold: DataFrame, limit: int = 100) -> DataFrame:
-    """The newest Gold rows that use an override on either side."""
+def override_audit_gold(gold: DataFrame, limit: int | None = None) -> DataFrame:
+    """Gold rows that use an override on either side; with ``limit``, the newest ones."""
     uses = (F.col("pickup_resolution_source") == "override") | (F.col("dropoff_resolution_source") == "override")
     columns = [c for side in ("pickup", "dropoff") for c in (
         f"normalized_{side}_location", f"{side}_postal_code", f"{side}_formatted_address", f"{side}_resolution_source")]
-    return (gold.where(uses).orderBy(F.desc("message_date_gmt8"), "gold_request_id").limit(limit).select(*columns))
+    rows = gold.where(uses)
+    if limit is not None:
+        rows = rows.orderBy(F.desc("message_date_gmt8"), "gold_request_id").limit(limit)
+    return rows.select(*columns)

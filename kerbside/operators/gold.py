@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock, text
-from kerbside.operators.joins import fits_broadcast, lookup_join
 from kerbside.operators.silver import lookback_filter
 from kerbside.operators.upsert import upsert
 from kerbside.schemas import GEOCODE_SUFFIXES, GOLD_COLUMNS
@@ -57,23 +56,17 @@ def rank_geocodes(cache: DataFrame, override_exclusive: bool = False) -> DataFra
     return ranked.select("normalized_location", *GEOCODE_SUFFIXES)
 
 
-def enrich_geocodes(requests: DataFrame, ranked: DataFrame, small: bool | None = None) -> DataFrame:
+def enrich_geocodes(requests: DataFrame, ranked: DataFrame) -> DataFrame:
     """Left join the geocodes of both places; several per place multiply the request.
 
-    Popular places make the join keys skewed. A geocode table of checked size is
-    broadcast (once, both joins share it); a larger one is joined with hot keys split. A
-    caller that has counted the table already passes the outcome as ``small``.
+    Popular places make the join keys skewed. Adaptive execution broadcasts a geocode table
+    whose measured size allows it, and splits the partitions of hot places otherwise.
     """
-    if small is None:
-        small = fits_broadcast(ranked.select("normalized_location"))
-    spread = F.concat_ws("#", "channel", "message_id")
     enriched = requests
     for side in ("pickup", "dropoff"):
         place = f"normalized_{side}_location"
         kept = [F.col(c) for c in enriched.columns if c != place]
-        enriched = lookup_join(
-            enriched.withColumnRenamed(place, "normalized_location"), ranked, "normalized_location", small, spread,
-        ).select(*kept, F.col("normalized_location").alias(place),
+        enriched = enriched.withColumnRenamed(place, "normalized_location").join(ranked, "normalized_location", "left").select(*kept, F.col("normalized_location").alias(place),
                  *[F.col(c).alias(f"{side}_{suffix}") for c, suffix in GEOCODE_SUFFIXES.items()])
     return enriched
 
@@ -86,10 +79,8 @@ def user_key() -> Column:
 
 
 def _geocoded(requests: DataFrame, cache: DataFrame) -> DataFrame:
-    """Requests with both geocodes and dedup keys. The cache bounds its ranking, and
-    counting stored rows is cheaper than ranking them twice."""
-    small = fits_broadcast(cache.where(F.col("resolution_status") == "resolved"))
-    return dedup_keys(enrich_geocodes(requests, rank_geocodes(cache), small))
+    """Requests with both geocodes and dedup keys."""
+    return dedup_keys(enrich_geocodes(requests, rank_geocodes(cache)))
 
 
 def dedup_keys(enriched: DataFrame) -> DataFrame:

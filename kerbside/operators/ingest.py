@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import text
 from kerbside.functions.clock import ntz
-from kerbside.operators.joins import fits_broadcast, lookup_join
+from kerbside.operators.joins import union_all
 from kerbside.schemas import MESSAGE_COLUMNS
 
-# Sources are configured by hand. More than this many are joined without broadcast.
-MAX_SOURCES = 10_000
 # Ids are counted in blocks of this size to find where a page ends.
 PAGE_BLOCK = 65_536
 
@@ -52,15 +50,14 @@ def scan_sources(messages: DataFrame, plan: DataFrame, limited: bool = True) ->
     blocks of a source, then rows per id inside the one block where the limit falls. Only
     counts are shuffled, so a source with a third of all messages costs no more than any
     other, and the messages themselves stay where they were read. Copies of one id are
-    never split over two pages.
+    never split over two pages. Sources of a whole channel are joined by channel, sources
+    of one topic by channel and topic, so a channel with many topics costs no more.
     """
-    small, spread = fits_broadcast(plan, MAX_SOURCES), F.col("id")
-    pending = (
-        lookup_join(messages.withColumnRenamed("topic_id", "message_topic_id"), plan, "channel",
-                    small, spread, "inner")
-        .where((F.col("id") > F.col("last_message_id"))
-               & (F.col("source_topic_id").isNull() | (F.col("message_topic_id") == F.col("source_topic_id"))))
-    )
+    of_channel, of_topic = plan.where("source_topic_id IS NULL"), plan.where("source_topic_id IS NOT NULL")
+    pending = union_all(
+        messages.drop("topic_id").join(of_channel, "channel"),
+        messages.withColumnRenamed("topic_id", "source_topic_id").join(of_topic, ["channel", "source_topic_id"]),
+    ).where(F.col("id") > F.col("last_message_id"))
     page_rows = pending
     if limited:
         block = F.floor(F.col("id") / F.lit(PAGE_BLOCK)).cast("bigint")
@@ -74,14 +71,13 @@ def scan_sources(messages: DataFrame, plan: DataFrame, limited: bool = True) ->
         )
         in_block = Window.partitionBy("state_key").orderBy("id")
         ends = (
-            lookup_join(narrow.withColumnRenamed("block", "in_block"), blocks, "state_key", small, spread, "inner")
-            .where(F.col("in_block") == F.col("block"))
+            narrow.join(blocks, ["state_key", "block"])
             .groupBy("state_key", "wanted", "id").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("through", F.sum("n").over(in_block))
             .where(F.col("through") >= F.col("wanted"))
             .groupBy("state_key").agg(F.min("id").alias("page_end"))
         )
-        page_rows = (lookup_join(pending, ends, "state_key", small, spread)
+        page_rows = (pending.join(ends, "state_key", "left")
                      .where(F.col("page_end").isNull() | (F.col("id") <= F.col("page_end"))))
     return page_rows.select(
         "state_key", "sync_mode", "row_limit",

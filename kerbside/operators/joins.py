@@ -1,55 +1,21 @@
-"""Joins whose small side is checked before it is broadcast."""
+"""Unions that stay plain concatenations."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# About 200 bytes a row for the narrow tables joined here: 100 MB on every executor.
-BROADCAST_ROWS = 500_000
-# A key is hot if it holds more than this share of all rows, and more rows than the floor.
-# Fewer than 1 / HOT_SHARE keys can do so, whatever the data.
-HOT_SHARE = 1 / 10_000
-HOT_FLOOR = 100_000
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``rows + 1`` rows of ``df``; every partition stops at the limit."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(left: DataFrame, right: DataFrame, key: str, small: bool, spread: Column,
-                how: str = "left") -> DataFrame:
-    """Join on ``key`` where one key value may hold a large share of ``left``.
-
-    A small right side is broadcast, so ``left`` does not move. Otherwise hot keys are
-    split: a key's rows are dealt out by a hash of ``spread`` to as many parts as it holds
-    hot shares, and the right rows of that key, and of no other, are repeated once per
-    part. The hash is of row values, not a random number: a retried task must deal the
-    same way. Keys are counted in a pass of their own, which reads only the key.
-    """
-    if small:
-        return left.join(F.broadcast(right), key, how)
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.greatest(counts.agg(F.coalesce(F.sum("_n"), F.lit(0)) * F.lit(HOT_SHARE)).scalar(), F.lit(float(HOT_FLOOR)))
-    hot = counts.where(F.col("_n") > share).select(key, F.ceil(F.col("_n") / share).cast("bigint").alias("_parts"))
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-    dealt = (left.join(F.broadcast(hot), key, "left")
-             .withColumn("_part", F.pmod(F.xxhash64(spread), parts)).drop("_parts"))
-    repeated = (right.join(F.broadcast(hot), key, "left")
-                .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_parts"))
-    return dealt.join(repeated, [key, "_part"], how).drop("_part")
+from pyspark.sql import DataFrame
 
+_MANY = 1 << 20
 
 def union_all(first: DataFrame, *rest: DataFrame, allow_missing: bool = False) -> DataFrame:
     """Union by name, planned as a plain concatenation.
 
     Spark 4.1 may zip the partitions of inputs that are hashed the same way. That fails
     when adaptive execution has merged the partitions of one input and not of the other
-    ("Can't zip RDDs with unequal numbers of partitions"), so the feature is turned off.
+    ("Can't zip RDDs with unequal numbers of partitions"). Coalescing to more partitions
+    than there are moves nothing, but leaves the partitioning unknown, so no session
+    setting is needed.
     """
-    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
     whole = first
     for df in rest:
-        whole = whole.unionByName(df, allowMissingColumns=allow_missing)
+        whole = whole.unionByName(df.coalesce(_MANY), allowMissingColumns=allow_missing)
     return whole

@@ -16,8 +16,7 @@ from kerbside.schemas import DRIVER, FEED_COLUMNS, HITCHER, REQUEST_TYPES
 
 AsOf = str | datetime
 WITHIN, CROSS_BORDER = "within-sg", "sg-jb"
-MAX_MINUTES, DEFAULT_MINUTES = 720, 360
-MAX_LIMIT = 5000
+DEFAULT_MINUTES = 360
 WINDOWS = (1, 2, 3, 6)
 CHART_BARS = 50
 
@@ -66,10 +65,13 @@ def _feed_rows(as_of: AsOf, minutes: int, tab: str) -> Column:
 
 
 def recent_requests(gold: DataFrame, as_of: AsOf, minutes: int = DEFAULT_MINUTES, tab: str = WITHIN,
-                    limit: int = MAX_LIMIT) -> DataFrame:
-    """Newest located hitcher requests of a route; the id makes the order total."""
-    return (gold.where(_feed_rows(as_of, minutes, tab)).select(*FEED_COLUMNS)
-            .orderBy(F.desc("message_date_gmt8"), "gold_request_id").limit(limit))
+                    limit: int | None = None) -> DataFrame:
+    """Located hitcher requests of a route. With ``limit``, the newest ones in order; the id
+    makes the order total. Without it every row, in no order."""
+    rows = gold.where(_feed_rows(as_of, minutes, tab)).select(*FEED_COLUMNS)
+    if limit is None:
+        return rows
+    return rows.orderBy(F.desc("message_date_gmt8"), "gold_request_id").limit(limit)
 
 
 def unique_request_count(gold: DataFrame, as_of: AsOf, minutes: int, request_type: str) -> DataFrame:
@@ -84,21 +86,18 @@ def latest_request_time(gold: DataFrame, as_of: AsOf, minutes: int, request_type
     return rows.agg(F.max("message_date_gmt8").cast("string").alias("latest_post_at"))
 
 
-def _positive(value: int | None, fallback: int, most: int) -> int:
-    return min(value, most) if isinstance(value, int) and value > 0 else fallback
-
-
-def recent_summary(gold: DataFrame, as_of: AsOf, minutes: int | None = None, tab: str = WITHIN,
+def recent_summary(gold: DataFrame, as_of: AsOf, minutes: int = DEFAULT_MINUTES, tab: str = WITHIN,
                    limit: int | None = None) -> DataFrame:
-    """Feed totals in one row and one pass: rows returned, hitcher requests in the window,
-    drivers active in the last hour, latest post."""
-    minutes = _positive(minutes, DEFAULT_MINUTES, MAX_MINUTES)
-    limit = _positive(limit, MAX_LIMIT, MAX_LIMIT)
+    """Feed totals in one row and one pass: rows a feed of ``limit`` rows returns, hitcher
+    requests in the window, drivers active in the last hour, latest post."""
+    if minutes < 1 or (limit is not None and limit < 1):
+        raise ValueError("minutes and limit must be positive")
     tab = tab if tab == CROSS_BORDER else WITHIN
+    shown = F.count_if(_feed_rows(as_of, minutes, tab))
     ident, kind = F.col("gold_request_id"), F.col("request_type")
     in_window = _since(as_of, minutes)
     return gold.where(_since(as_of, max(minutes, 60))).agg(
-        F.least(F.count_if(_feed_rows(as_of, minutes, tab)), F.lit(limit).cast("bigint")).alias("count"),
+        (shown if limit is None else F.least(shown, F.lit(limit).cast("bigint"))).alias("count"),
         F.count_distinct(F.when(in_window & (kind == HITCHER), ident)).alias("total_count"),
         F.count_distinct(F.when(_since(as_of, 60) & (kind == DRIVER), ident)).alias("active_driver_count"),
         F.max(F.when(in_window, F.col("message_date_gmt8"))).cast("string").alias("latest_post_at"),
@@ -213,9 +212,10 @@ def dashboard_rows(gold: DataFrame, as_of: AsOf) -> DataFrame:
     ).orderBy("metric", "request_type", "window_hours", "bucket_start_gmt8")
 
 
-def dashboard_metrics(rows: DataFrame) -> DataFrame:
+def dashboard_metrics(rows: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Per type and window: mean and last rolling value, live count, both point series.
 
+    Every type and window has a row; without data its numbers are 0 and its series empty.
     Works on dashboard rows, whose number is fixed by span and windows.
     """
     value, bucket = F.col("metric_value"), F.col("bucket_start_gmt8")
@@ -230,9 +230,14 @@ def dashboard_metrics(rows: DataFrame) -> DataFrame:
     live = rows.where(F.col("metric") == "live_15m").groupBy("request_type").agg(F.max(value).alias("live"))
     daily = (rows.where((F.col("metric") == "daily_total") & bucket.isNotNull())
              .groupBy("request_type").agg(points("day_start_gmt8").alias("daily_points")))
-    return rolling.join(live, "request_type", "left").join(daily, "request_type", "left").select(
-        "request_type", "window_hours", "average_rolling_total", "current_rolling_total",
-        F.coalesce("live", F.lit(0.0)).alias("live_15m_count"), "daily_points", "rolling_points")
+    entries = (_one_row(rows.sparkSession).select(F.explode(_strings(REQUEST_TYPES)).alias("request_type"))
+               .select("request_type", F.explode(F.array(*[F.lit(w) for w in windows])).alias("window_hours")))
+    found = entries.join(rolling, ["request_type", "window_hours"], "left").join(live, "request_type", "left").join(daily, "request_type", "left")
+    kind = dict(found.dtypes)
+    return found.select(
+        "request_type", "window_hours", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("average_rolling_total", "current_rolling_total")],
+        F.coalesce("live", F.lit(0.0)).alias("live_15m_count"),
+        *[F.coalesce(c, F.array().cast(kind[c])).alias(c) for c in ("daily_points", "rolling_points")])
 
 
 def chart_downsample(rolling: DataFrame, bars: int = CHART_BARS, steps_per_hour: int = 4) -> DataFrame:

@@ -28,6 +28,7 @@ PER_RUN, PAGE, SINCE_YEAR = 300, 700, 2024
 MERGE_HOURS = 240
 RUN_AT = "2024-01-31 01:02:03"
 LEGACY_COLUMN = "date"
+NEW_IDS = 1_000_000_000  # beyond every id of the test tables
 
 
 class Tables:
@@ -190,15 +191,16 @@ def checkpoint_rebuild(t: Tables) -> DataFrame:
 
 @query
 def bronze_upsert(t: Tables) -> DataFrame:
-    stored = t.messages.where(F.col("id") % 5 != 0)
-    batch = t.edits.withColumn("topic_id", F.when(F.col("id") % 2 == 0, F.col("topic_id")))
-    return upsert.upsert(stored, batch, MESSAGE_KEYS, ["topic_id"])
+    fresh = F.when(F.col("id") % 5 == 0, F.col("id") + NEW_IDS).otherwise(F.col("id"))
+    batch = t.edits.withColumn("topic_id", F.when(F.col("id") % 2 == 0, F.col("topic_id"))).withColumn("id", fresh)
+    return upsert.upsert(t.messages, batch, MESSAGE_KEYS, ["topic_id"])
 
 
 @query
 def schema_guard(t: Tables) -> DataFrame:
     legacy = t.messages.drop("sender_handle", "scraped_at_gmt8").withColumnRenamed("message_date_gmt8", LEGACY_COLUMN)
-    return upsert.schema_guard(legacy, MESSAGE_COLUMNS)
+    rows = legacy.agg(F.count(F.lit(1))).scalar()
+    return upsert.schema_guard(legacy, MESSAGE_COLUMNS).withColumn("table_rows", rows)
 
 
 @query
@@ -408,7 +410,7 @@ def override_audit(t: Tables) -> DataFrame:
 
 @query
 def override_audit_gold(t: Tables) -> DataFrame:
-    return geocode.override_audit_gold(t.gold_table, 100)
+    return geocode.override_audit_gold(t.gold_table)
 
 
 # --- D: Gold -------------------------------------------------------------------------
@@ -540,7 +542,7 @@ def latest_request_time(t: Tables) -> DataFrame:
 
 @query
 def recent_summary(t: Tables) -> DataFrame:
-    return serving.recent_summary(t.gold_table, AS_OF, 5000, serving.CROSS_BORDER, 20)
+    return serving.recent_summary(t.gold_table, AS_OF, 720, serving.CROSS_BORDER, 20)
 
 
 @query
@@ -581,8 +583,12 @@ def dq_unique(t: Tables) -> DataFrame:
 
 @query
 def dq_accepted_values(t: Tables) -> DataFrame:
-    few = quality.dq_accepted_values(t.silver, "pax_count", PAX_COUNTS[:5], F.col("pax_count").isNotNull())
-    status = quality.dq_accepted_values(t.cache, "resolution_status", RESOLUTION_STATUSES[:2])
+    # Values that the derived tables never hold, so that there is something to report.
+    many = t.silver.withColumn("pax_count", F.when(F.col("message_id") % 97 == 0, F.col("pax_count") + 10).otherwise(F.col("pax_count")))
+    odd = t.cache.withColumn("resolution_status", F.when(F.length("normalized_location") % 5 == 0, F.upper("resolution_status"))
+                             .otherwise(F.col("resolution_status")))
+    few = quality.dq_accepted_values(many, "pax_count", PAX_COUNTS, F.col("pax_count").isNotNull())
+    status = quality.dq_accepted_values(odd, "resolution_status", RESOLUTION_STATUSES)
     return union_all(few.select(F.lit("pax_count").alias("column_name"), F.col("value").cast("string").alias("value"), "row_count"),
                      status.select(F.lit("resolution_status").alias("column_name"), "value", "row_count"))
 

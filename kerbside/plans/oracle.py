@@ -322,9 +322,9 @@ CROSS = f"(NOT ({WITHIN}) OR " + " OR ".join(
 LOCATED = " AND ".join(f"{side}_{c} IS NOT NULL" for side in SIDES for c in ("latitude", "longitude"))
 
 
-def feed(minutes: int, route: str, limit: int) -> str:
+def feed(minutes: int, route: str, limit: int | None = None) -> str:
     return (f"SELECT {_list(FEED_COLUMNS)} FROM {{gold}} WHERE {in_window(minutes)} AND request_type = 'hitcher_request' "
-            f"AND {LOCATED} AND {route} ORDER BY message_date_gmt8 DESC, gold_request_id LIMIT {limit}")
+            f"AND {LOCATED} AND {route}" + (f" ORDER BY message_date_gmt8 DESC, gold_request_id LIMIT {limit}" if limit else ""))
 
 
 def score(ts: str) -> str:
@@ -337,22 +337,15 @@ def _fixed5(column: str) -> str:
 
 
 PARTS.update({
-    "feed": feed(43_200, WITHIN, 5000),
+    "upsert_batch": f"""SELECT * REPLACE (CASE WHEN id % 5 = 0 THEN id + {C.NEW_IDS} ELSE id END AS id,
+        CASE WHEN id % 2 = 0 THEN topic_id END AS topic_id) FROM {{edits}}""",
+    "feed": feed(43_200, WITHIN),
     "node_requests": " UNION ALL ".join(
         f"SELECT concat('{side}:', {_fixed5(side + '_latitude')}, ',', {_fixed5(side + '_longitude')}) AS node_id, '{side}' AS kind, "
         f"{side}_latitude AS latitude, {side}_longitude AS longitude, gold_request_id, message_date_gmt8 FROM {{feed}}" for side in SIDES),
 })
 
 
-def _slot_end(ts: str) -> str:
-    return f"date_trunc('day', {ts}) + INTERVAL 1 HOUR * (2 * (hour({ts}) // 2) + 2)"
-
-
-def _watermark(ts: str, table: str, delay: str) -> str:
-    """Streams count time in milliseconds and hold back what the watermark has not passed."""
-    return f"(SELECT date_trunc('millisecond', max({ts})) - INTERVAL {delay} FROM {table})"
-
-
 def _nulls(table: str, name: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM {table}" for c in columns)
@@ -387,10 +380,10 @@ ORACLE = {
       FROM {page}""",
     "checkpoint_rebuild": """SELECT concat(channel, CASE WHEN topic_id IS NULL THEN '' ELSE concat('#topic=', topic_id) END) AS state_key,
         max(id) AS last_message_id FROM {messages} GROUP BY ALL""",
-    "bronze_upsert": f"""SELECT channel, CASE WHEN id % 5 <> 0 OR id % 2 = 0 THEN topic_id ELSE NULL END AS topic_id, {_list(MESSAGE_COLUMNS[2:])} FROM (
-        SELECT s.channel, coalesce(CASE WHEN s.id % 2 = 0 THEN s.topic_id END, m.topic_id) AS topic_id, {_list(MESSAGE_COLUMNS[2:], 's.')}
-        FROM {{edits}} s JOIN {{messages}} m ON m.channel = s.channel AND m.id = s.id)
-      UNION ALL SELECT {_list(MESSAGE_COLUMNS)} FROM {{messages}} WHERE id % 5 <> 0 AND id % 7 <> 0""",
+    "bronze_upsert": f"""SELECT s.channel, coalesce(s.topic_id, m.topic_id) AS topic_id, {_list(MESSAGE_COLUMNS[2:], 's.')}
+      FROM {{upsert_batch}} s LEFT JOIN {{messages}} m ON m.channel = s.channel AND m.id = s.id
+      UNION ALL SELECT {_list(MESSAGE_COLUMNS)} FROM {{messages}} m WHERE NOT EXISTS (
+        SELECT 1 FROM {{upsert_batch}} s WHERE s.channel = m.channel AND s.id = m.id)""",
     "schema_guard": "SELECT column_name, CASE WHEN column_name IN ('scraped_at_gmt8', 'sender_handle', 'message_date_gmt8') THEN 'missing' "
                     f"WHEN column_name = '{C.LEGACY_COLUMN}' THEN 'extra' ELSE 'expected' END AS status, (SELECT count(*) FROM {{messages}}) AS table_rows "
                     "FROM (VALUES " + ", ".join(f"('{c}')" for c in [*MESSAGE_COLUMNS, C.LEGACY_COLUMN]) + ") AS v(column_name)",
@@ -457,8 +450,7 @@ ORACLE = {
     "geocode_status_counts": "SELECT resolution_status, resolution_source, count(*) AS location_count FROM {cache} GROUP BY ALL",
     "override_audit": "SELECT normalized_location, postal_code, formatted_address, resolution_source FROM {cache} WHERE resolution_source = 'override'",
     "override_audit_gold": f"""SELECT {', '.join(f'normalized_{s}_location, {s}_postal_code, {s}_formatted_address, {s}_resolution_source' for s in SIDES)}
-      FROM {{gold}} WHERE 'override' IN (pickup_resolution_source, dropoff_resolution_source)
-      ORDER BY message_date_gmt8 DESC, gold_request_id LIMIT 100""",
+      FROM {{gold}} WHERE 'override' IN (pickup_resolution_source, dropoff_resolution_source)""",
     "silver_request_id": f"SELECT channel, message_id, {sid()} AS silver_request_id FROM {{silver}}",
     "parsed_requests": "SELECT * FROM {parsed}",
     "affected_requests": f"SELECT DISTINCT silver_request_id FROM {{parsed}} WHERE scraped_at_gmt8 >= {NOW} - INTERVAL 48 HOUR",
@@ -473,7 +465,7 @@ ORACLE = {
     "gold_incremental": f"SELECT * FROM {{gold}} WHERE scraped_at_gmt8 >= {NOW} - INTERVAL 48 HOUR",
     "gold_merge": f"""SELECT * FROM {{gold}} WHERE scraped_at_gmt8 >= {_MERGE_FROM} UNION ALL
       SELECT * FROM {{first_gold}} WHERE silver_request_id NOT IN (SELECT {sid()} FROM {{silver}} WHERE scraped_at_gmt8 >= {_MERGE_FROM})""",
-    "recent_requests": feed(720, WITHIN, 5000),
+    "recent_requests": feed(720, WITHIN),
     "route_within": f"SELECT * FROM {{gold}} WHERE {WITHIN}",
     "route_cross_border": f"SELECT * FROM {{gold}} WHERE {CROSS}",
     "rolling_counts": "SELECT * FROM {rolling}",
@@ -507,19 +499,19 @@ ORACLE = {
           (("bronze", "copies"), ("geocodes", "cache"), ("silver", "silver"), ("gold", "gold"))],
         _nulls("{copies}", "optional", ["topic_id", "sender_handle"])]),
     "dq_unique": "SELECT normalized_location, count(*) AS copies FROM {cache} GROUP BY ALL HAVING count(*) > 1",
-    "dq_accepted_values": """SELECT 'pax_count' AS column_name, CAST(pax_count AS VARCHAR) AS value, count(*) AS row_count FROM {silver} WHERE pax_count > 5 GROUP BY ALL
-      UNION ALL SELECT 'resolution_status', resolution_status, count(*) FROM {cache} WHERE resolution_status NOT IN ('resolved', 'no_match') GROUP BY ALL""",
+    "dq_accepted_values": """SELECT 'pax_count' AS column_name, CAST(pax_count + 10 AS VARCHAR) AS value, count(*) AS row_count
+        FROM {silver} WHERE message_id % 97 = 0 AND pax_count IS NOT NULL GROUP BY ALL
+      UNION ALL SELECT 'resolution_status', upper(resolution_status), count(*) FROM {cache} WHERE length(normalized_location) % 5 = 0 GROUP BY ALL""",
     "dq_duplicate_keys": "SELECT channel, id, count(*) AS copies FROM {copies} GROUP BY ALL HAVING count(*) > 1",
     "source_profile": """SELECT channel, topic_id, count(*) AS row_count, min(message_date_gmt8) AS oldest_message_gmt8,
         max(message_date_gmt8) AS newest_message_gmt8, max(id) AS maximum_message_id FROM {copies} GROUP BY ALL""",
     "stream_bronze_upsert": "SELECT * FROM {latest}",
-    "stream_latest_copy": f"SELECT * FROM {{latest}} WHERE scraped_at_gmt8 + INTERVAL 6 HOUR <= {_watermark('scraped_at_gmt8', '{copies}', '6 HOUR')}",
-    "stream_repost_dedup": f"""SELECT DISTINCT telegram_user_key, pickup_dedup_location_key, dropoff_dedup_location_key, message_date_gmt8, channel, message_id
-      FROM {{kept}} WHERE {_slot_end('message_date_gmt8')} <= {_watermark('message_date_gmt8', '{keyed}', '10 MINUTE')}""",
-    "stream_rolling_counts": f"""SELECT g.request_type, 6 AS window_hours, b.bucket_start, count(DISTINCT g.gold_request_id) AS total_count
+    "stream_latest_copy": "SELECT * FROM {latest}",
+    "stream_repost_dedup": """SELECT DISTINCT telegram_user_key, pickup_dedup_location_key, dropoff_dedup_location_key, message_date_gmt8, channel, message_id
+      FROM {kept}""",
+    "stream_rolling_counts": """SELECT g.request_type, 6 AS window_hours, b.bucket_start, count(DISTINCT g.gold_request_id) AS total_count
       FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-02', INTERVAL 15 MINUTE)) AS bucket_start) b
-      JOIN {{gold}} g ON g.message_date_gmt8 <= b.bucket_start AND g.message_date_gmt8 > b.bucket_start - INTERVAL 6 HOUR
-      WHERE b.bucket_start <= {_watermark('message_date_gmt8 - INTERVAL 1 MICROSECOND', '{gold}', '10 MINUTE')} GROUP BY ALL""",
+      JOIN {gold} g ON g.message_date_gmt8 <= b.bucket_start AND g.message_date_gmt8 > b.bucket_start - INTERVAL 6 HOUR GROUP BY ALL""",
 }
 
 _NAME = re.compile(r"\{([a-z_]+)\}")

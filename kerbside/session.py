@@ -11,6 +11,8 @@ SETTINGS = {
     # Parsing text is bound by CPU: let small shuffles keep all cores busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's partition also where the split costs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.unionOutputPartitioning": "false",  # see operators.joins.union_all
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }
