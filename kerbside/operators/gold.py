@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from kerbside.functions import clock, text
 from kerbside.operators.silver import lookback_filter
 from kerbside.operators.upsert import upsert
 from kerbside.schemas import GEOCODE_SUFFIXES, GOLD_COLUMNS
+from kerbside.sources.workspace import stored
 
 GAP_HOURS = 2
 _DEDUP_KEYS = ["telegram_user_key", "pickup_dedup_location_key", "dropoff_dedup_location_key"]
@@ -151,25 +152,42 @@ def gold_requests(silver: DataFrame, cache: DataFrame, gap_hours: int = GAP_HOUR
     return _project(repost_dedup(keyed, gap_hours))
 
 
+def _within_days(touched: DataFrame, gap_hours: int) -> Column:
+    """Whether a post lies in the days of the touched slots, as ranges of time. The days
+    that reach the driver are at most those of the calendar."""
+    ends = F.array(F.to_date("_slot"), F.to_date(F.col("_slot") + clock.hours(gap_hours)))
+    days = sorted(r.day for r in touched.select(F.explode(ends).alias("day")).where("day IS NOT NULL").distinct().collect())
+    ranges: list[list[date]] = []
+    for day in days:
+        if ranges and ranges[-1][1] == day:
+            ranges[-1][1] = day + timedelta(days=1)
+        else:
+            ranges.append([day, day + timedelta(days=1)])
+    posted, inside = F.col("message_date_gmt8"), F.lit(False)
+    for first, end in ranges:
+        inside = inside | ((posted >= clock.ntz(f"{first} 00:00:00")) & (posted < clock.ntz(f"{end} 00:00:00")))
+    return inside
+
+
 def gold_incremental(silver: DataFrame, cache: DataFrame, as_of: str | datetime | None, hours: int = 6,
                      gap_hours: int = GAP_HOURS) -> DataFrame:
     """Gold rows of requests scraped within the lookback, deduplicated against history.
 
     Whether a post stays depends only on posts of its user in its own slot and the slot
     before. So history is cut to those (user, slot) pairs before it is geocoded, and to
-    the time they span before it is read: the scan gets the oldest slot as a filter.
+    their days before it is read: the scan gets these days as filters, so one late message
+    adds its own days and not all history since. What the lookback holds is written once.
     """
     if as_of is None:
         return gold_requests(silver, cache, gap_hours)
     requests = parsed_requests(silver)
     slot = F.window("message_date_gmt8", _gap(gap_hours))["start"]
-    affected = (lookback_filter(requests, "scraped_at_gmt8", as_of, hours)
-                .select("silver_request_id", user_key().alias("_user"), slot.alias("_slot"), "message_date_gmt8"))
+    affected = stored(lookback_filter(requests, "scraped_at_gmt8", as_of, hours)
+                      .select("silver_request_id", user_key().alias("_user"), slot.alias("_slot")), "affected")
     touched = affected.select(
         "_user", F.explode(F.array("_slot", F.col("_slot") - clock.hours(gap_hours))).alias("_slot")).distinct()
-    since = affected.select(F.min("message_date_gmt8") - clock.hours(2 * gap_hours)).scalar()
     neighbours = (
-        requests.where(F.col("message_date_gmt8") >= since)
+        requests.where(_within_days(touched, gap_hours))
         .withColumn("_user", user_key()).withColumn("_slot", slot)
         .join(touched, ["_user", "_slot"], "left_semi").drop("_user", "_slot")
     )

@@ -115,6 +115,16 @@ def checkpoint_advance(plan: DataFrame, scanned: DataFrame) -> DataFrame:
         (F.col("initial_backfill_complete") | ~limit_reached).alias("initial_backfill_complete"))
 
 
+def advance_state(state: DataFrame, advanced: DataFrame) -> DataFrame:
+    """Stored state and a run's new state together: no mark moves back and no finished
+    backfill is reopened, whichever run comes last."""
+    done = F.coalesce("s.initial_backfill_complete", F.lit(False)) | F.coalesce("a.initial_backfill_complete", F.lit(False))
+    return (state.alias("s").join(advanced.alias("a"), F.col("s.state_key") == F.col("a.state_key"), "full_outer")
+            .select(F.coalesce("s.state_key", "a.state_key").alias("state_key"),
+                    F.greatest("s.last_message_id", "a.last_message_id").alias("last_message_id"),
+                    done.alias("initial_backfill_complete")))
+
+
 def sync_summary(plan: DataFrame, fetched: DataFrame) -> DataFrame:
     """One row: sources, messages fetched and merged, and the mode (``mixed`` if several)."""
     per_source = fetched.groupBy("state_key").agg(F.count(F.lit(1)).alias("fetched"))

@@ -28,6 +28,7 @@ PER_RUN, PAGE, SINCE_YEAR = 300, 700, 2024
 MERGE_HOURS = 240
 RUN_AT = "2024-01-31 01:02:03"
 LEGACY_COLUMN = "date"
+CLOSING = "2100-01-01 00:00:00"  # after every event
 NEW_IDS = 1_000_000_000  # beyond every id of the test tables
 
 
@@ -605,8 +606,8 @@ def source_profile(t: Tables) -> DataFrame:
 
 # --- G: streams, run until all input is read ------------------------------------------
 
-def _drain(stream: DataFrame, name: str) -> DataFrame:
-    folder = new_folder(stream.sparkSession, name)
+def _drain(stream: DataFrame, folder: str) -> DataFrame:
+    """Run ``stream`` over all that has arrived since ``folder`` was last used."""
     (stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/progress")
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
@@ -628,15 +629,26 @@ def stream_bronze_upsert(t: Tables) -> DataFrame:
 
 @query
 def stream_latest_copy(t: Tables) -> DataFrame:
-    return _drain(streams.stream_latest_copy(_as_stream(t.copies, t.copies.schema)), "stream-latest")
+    folder = new_folder(t.spark, "stream-latest")
+    stream = _as_stream(t.copies, t.copies.schema)
+    streams.stream_latest_copy(stream, f"{folder}/latest", folder, {"availableNow": True}).awaitTermination()
+    return read_message_table(t.spark, f"{folder}/latest")
 
 
 @query
 def stream_repost_dedup(t: Tables) -> DataFrame:
     keyed = t.keyed.select(*streams.POST_KEYS, "message_date_gmt8", "channel", "message_id")
-    return _drain(streams.stream_repost_dedup(_as_stream(keyed, keyed.schema)), "stream-dedup")
+    folder = new_folder(t.spark, "feed")
+    keyed.write.parquet(folder)
+    results = new_folder(t.spark, "stream-dedup")
+    _drain(streams.stream_repost_dedup(streams.read_stream(t.spark, folder, keyed.schema)), results)
+    streams.closing_event(t.spark, keyed.schema, "message_date_gmt8", CLOSING).write.mode("append").parquet(folder)
+    return _drain(streams.stream_repost_dedup(streams.read_stream(t.spark, folder, keyed.schema)), results)
 
 
 @query
 def stream_rolling_counts(t: Tables) -> DataFrame:
-    return _drain(streams.stream_rolling_counts(_as_stream(t.gold, GOLD_SCHEMA), 6), "stream-rolling")
+    folder = new_folder(t.spark, "stream-rolling")
+    stream = _as_stream(t.gold, GOLD_SCHEMA)
+    streams.stream_rolling_counts(stream, f"{folder}/counts", folder, 6, trigger={"availableNow": True}).awaitTermination()
+    return streams.read_rolling_counts(t.spark, f"{folder}/counts")

@@ -5,18 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators.upsert import require_schema, upsert
+from kerbside.operators.upsert import require_schema
 from kerbside.schemas import MESSAGE_COLUMNS, MESSAGE_KEYS, MESSAGE_SCHEMA
-from kerbside.sources.blocks import read_blocks, rewrite_blocks
+from kerbside.sources import runlog
+
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Raw messages under the declared columns; filters and columns reach the scan."""
     return spark.read.schema(MESSAGE_SCHEMA).parquet(path)
 
 
-def read_message_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table that ``merge_messages`` keeps."""
-    return read_blocks(spark, path, MESSAGE_SCHEMA, "id")
+def newest_messages(rows: DataFrame) -> DataFrame:
+    """The newest copy of every message; a topic that later copies lack is kept."""
+    return runlog.newest(rows, MESSAGE_KEYS, ["scraped_at_gmt8"], ["topic_id"]).select(*MESSAGE_COLUMNS)
+
+
+def read_message_table(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The table that ``append_messages`` keeps. With ``since``, a wall clock, only days of
+    scraping from its date on are opened, and a topic is looked for in these only."""
+    return newest_messages(runlog.read_log(spark, path, MESSAGE_SCHEMA, since))
 
 
 def write_csv(messages: DataFrame, path: str) -> None:
@@ -36,9 +43,6 @@ def write_csv(messages: DataFrame, path: str) -> None:
                     ignoreTrailingWhiteSpace=False).csv(path))
 
 
-def merge_messages(spark: SparkSession, path: str, batch: DataFrame, staging: str, order_col: str | None = None) -> None:
-    """Upsert a batch, one row per message, into the table at ``path``; see ``rewrite_blocks``
-    for ``staging`` and ``upsert`` for ``order_col``."""
-    batch = require_schema(batch, MESSAGE_COLUMNS)
-    rewrite_blocks(spark, path, MESSAGE_SCHEMA, "id", batch,
-                   lambda stored: upsert(stored, batch, MESSAGE_KEYS, ["topic_id"], order_col), staging)
+def append_messages(path: str, batch: DataFrame, run: str) -> DataFrame:
+    """Add a run's messages to the table at ``path``; repeating the run changes nothing."""
+    return runlog.append_run(require_schema(batch, MESSAGE_COLUMNS), path, run, "scraped_at_gmt8")

@@ -8,14 +8,15 @@ newest rows of closed runs as one more run; the runs it covers are left out by r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import clock
-from kerbside.sources.workspace import folder_names, path_exists
+from kerbside.sources.workspace import folder_names
 
 ROWS_PER_FILE = 5_000_000
 
@@ -40,10 +41,10 @@ def covered_runs(spark: SparkSession, root: str) -> list[str]:
     return sorted({r.name for n in names for r in spark.read.parquet(f"{root}-covered/{n}").collect()})  # one row per run
 
 
-def read_log(spark: SparkSession, root: str, schema: T.StructType, since=None) -> DataFrame:
+def read_log(spark: SparkSession, root: str, schema: T.StructType, since: Column | None = None) -> DataFrame:
     """Every stored row with its ``run``; with ``since``, only days from that wall clock's
     date on are opened."""
-    if not path_exists(spark, root) or not any(n.startswith("run=") for n in folder_names(spark, root)):
+    if not _runs(spark, root):
         return spark.createDataFrame([], T.StructType([*_stored(schema).fields[:-1], T.StructField("run", T.StringType())]))
     rows = spark.read.schema(_stored(schema, T.StructField("run", T.StringType()))).parquet(root)
     covered = covered_runs(spark, root)
@@ -71,7 +72,25 @@ def newest_runs(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return rows.withColumn("_run", F.dense_rank().over(latest)).where(F.col("_run") == 1).drop("_run")
 
 
-def compact(spark: SparkSession, root: str, schema: T.StructType, stamp: str, before, reduce) -> str | None:
+def _cover(spark: SparkSession, root: str, name: str, runs: list[str]) -> None:
+    entries = spark.range(1).select(F.explode(F.array(*map(F.lit, runs))).alias("name"))
+    entries.write.mode("overwrite").parquet(f"{root}-covered/run={name}")
+
+
+def _runs(spark: SparkSession, root: str) -> list[str]:
+    return sorted(n[4:] for n in folder_names(spark, root) if n.startswith("run="))
+
+
+def replace_runs(df: DataFrame, root: str, run: str, stamp: str) -> None:
+    """Write ``df`` as a run in place of all runs there are."""
+    earlier = [r for r in _runs(df.sparkSession, root) if r != run]
+    append_run(df, root, run, stamp)
+    if earlier:
+        _cover(df.sparkSession, root, run, earlier)
+
+
+def compact(spark: SparkSession, root: str, schema: T.StructType, stamp: str, before: str | datetime,
+            reduce: Callable[[DataFrame], DataFrame]) -> str | None:
     """Write ``reduce`` of the rows of all runs whose last day is before ``before`` as one
     run, then note what it covers. A compaction that dies in between covers nothing."""
     rows = read_log(spark, root, schema)
@@ -81,5 +100,5 @@ def compact(spark: SparkSession, root: str, schema: T.StructType, stamp: str, be
         return None
     name = f"compact-{runs[-1]}"
     append_run(reduce(rows.where(F.col("run").isin(runs))).select(*schema.fieldNames()), root, name, stamp)
-    spark.createDataFrame([(r,) for r in runs], "name string").coalesce(1).write.mode("overwrite").parquet(f"{root}-covered/run={name}")
+    _cover(spark, root, name, runs)
     return name

@@ -78,7 +78,8 @@ def test_a_run_is_the_union_of_its_parts(spark, gazetteer):
 
 def test_rows_are_shaped(spark, gazetteer):
     long = geocode.resolve_places(locate(spark, "nowhere"), gazetteer).withColumn("error_message", F.repeat(F.lit("x"), 3000))
-    r = geocode.geocode_row(long, now()).collect()[0]
+    assert len(geocode.geocode_row(long, now()).collect()[0].error_message) == 3000
+    r = geocode.geocode_row(long, now(), reason_length=1000).collect()[0]
     assert len(r.error_message) == 1000 and r.attempted_at == NOW and r.resolved_at is None
 
 

@@ -7,8 +7,9 @@ import pytest
 from conftest import explained, rows, ts
 from pyspark.sql import functions as F
 
-from kerbside.operators import gold, joins
+from kerbside.operators import gold
 from kerbside.plans.catalog import Tables
+from kerbside.sources.workspace import stored
 from kerbside.schemas import GEOCODE_SCHEMA, GOLD_COLUMNS, SILVER_SCHEMA
 
 KEYED = ("telegram_user_key string, pickup_dedup_location_key string, dropoff_dedup_location_key string, "
@@ -97,30 +98,33 @@ def test_ranking_is_limited_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan
 
 
-@pytest.mark.parametrize(("floor", "share"), [(100_000, 1 / 10_000), (5, 1 / 50), (0, 1 / 3)])
-def test_a_large_geocode_table_gives_the_same_rows_with_split_keys(spark, monkeypatch, floor, share):
-    monkeypatch.setattr(joins, "HOT_FLOOR", floor)
-    monkeypatch.setattr(joins, "HOT_SHARE", share)
+def test_a_hot_place_is_split_at_run_time(spark):
+    """A third of the requests name one place; with a geocode table too large to broadcast,
+    the executed plan splits that place's partition."""
     t = Tables(spark, SF)
-    parsed, ranked = gold.parsed_requests(t.silver_table), gold.rank_geocodes(t.cache)
-    small, large = gold.enrich_geocodes(parsed, ranked, True), gold.enrich_geocodes(parsed, ranked, False)
-    assert small.columns == large.columns and rows(small) == rows(large)
-
-
-def test_a_hot_key_is_dealt_to_several_parts(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_FLOOR", 10)
-    left = spark.createDataFrame([("hot" if n % 3 else f"k{n}", n) for n in range(900)] + [(None, -1)], "k string, n int")
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k0", 3), ("gone", 4)], "k string, v int")
-    for how in ("left", "inner"):
-        plain, split = left.join(right, "k", how), joins.lookup_join(left, right, "k", False, F.col("n"), how)
-        assert rows(plain) == rows(split)
-    monkeypatch.setattr(joins, "HOT_SHARE", 1 / 10)
-    assert rows(left.join(right, "k")) == rows(joins.lookup_join(left, right, "k", False, F.col("n"), "inner"))
-
-
-def test_the_size_of_a_lookup_is_checked(spark):
-    table = spark.range(100)
-    assert joins.fits_broadcast(table, 99) is False and joins.fits_broadcast(table, 100) is True
+    parsed = gold.parsed_requests(t.silver_table)
+    hot = F.when(F.col("message_id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("message_id")))
+    wide = parsed.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("n").withColumn("normalized_pickup_location", hot)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = gold.enrich_geocodes(stored(wide, "wide"), gold.rank_geocodes(t.cache))
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_geocodes_are_joined_without_repeating_the_requests(spark):
+    t = Tables(spark, SF)
+    plan = gold.gold_requests(t.silver_table, t.cache)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 6
 
 
 def test_gold_columns_and_identity(spark):

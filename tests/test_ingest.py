@@ -37,11 +37,9 @@ def test_invalid_limits_and_marks(spark):
 
 
 @pytest.mark.parametrize("limit", [1, 2, 3, 64, 500])
-@pytest.mark.parametrize("small", [True, False])
-def test_pages_equal_the_first_rows_by_id(spark, monkeypatch, limit, small):
+def test_pages_equal_the_first_rows_by_id(spark, monkeypatch, limit):
     """Small blocks, so that the page end falls inside, at and after block borders."""
     monkeypatch.setattr(ingest, "PAGE_BLOCK", 8)
-    monkeypatch.setattr(ingest, "fits_broadcast", lambda df, rows: small)
     ids = [3, 5, 6, 7, 8, 9, 15, 16, 17, 40, 41, 42, 43, 90, 91] + list(range(100, 160))
     all_rows = messages(spark, ids).unionByName(messages(spark, [2, 4, 1000], "b"))
     plan = ingest.source_plan(sources(spark, ("@A", None), ("b", None)), state(spark, ("a", 5, True)), limit, 2)
@@ -99,3 +97,18 @@ def test_messages_are_not_shuffled_to_find_pages(spark, tmp_path):
     exchanges = [n for n in nodes if ") Exchange" in n.split("\n")[0] or n.startswith("\n") and ") Exchange" in n.split("\n")[1]]
     assert exchanges and not any("message_date_gmt8" in n for n in exchanges)
     assert ingest.scan_sources(log, plan).count() == 10
+
+
+def test_topics_are_matched_by_equal_keys(spark):
+    """Two thousand topics of one channel: no message is compared with all of them."""
+    many = sources(spark, *[("a", n) for n in range(2000)], ("a", None))
+    rows_in = messages(spark, [1, 2, 3]).withColumn("topic_id", F.lit(7).cast("bigint"))
+    got = ingest.scan_sources(rows_in, ingest.source_plan(many, state(spark)))
+    assert sorted((r.state_key, r.id) for r in got.collect()) == sorted([("a", n) for n in (1, 2, 3)] + [("a#topic=7", n) for n in (1, 2, 3)])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, ((channel" in plan and "NestedLoop" not in got._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_marks_never_move_back(spark):
+    stored, run = state(spark, ("a", 9, True), ("b", 2, False)), state(spark, ("a", 5, False), ("c", 1, False), ("b", 7, True))
+    assert rows(ingest.advance_state(stored, run)) == [("a", 9, True), ("b", 7, True), ("c", 1, False)]

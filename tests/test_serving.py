@@ -78,9 +78,14 @@ def test_feed_and_summary(spark):
     assert recent.columns == FEED_COLUMNS and len(FEED_COLUMNS) == 27 and recent.count() == 7
     times = [r.message_date_gmt8 for r in recent.collect()]
     assert times == sorted(times, reverse=True)
-    s = serving.recent_summary(g, AS_OF, -5, "nonsense", 10**9).collect()[0]
+    s = serving.recent_summary(g, AS_OF, tab="nonsense").collect()[0]
     assert (s.minutes, s.tab) == (360, "within-sg")
-    assert serving.recent_summary(g, AS_OF, 10_000).collect()[0].minutes == 720
+    assert serving.recent_summary(g, AS_OF, 10_000).collect()[0].minutes == 10_000
+    for minutes, limit in ((0, None), (-5, 3), (60, 0)):
+        with pytest.raises(ValueError):
+            serving.recent_summary(g, AS_OF, minutes, limit=limit)
+    whole = serving.recent_requests(g, AS_OF, 43_200)
+    assert whole.count() == serving.recent_summary(g, AS_OF, 43_200).collect()[0]["count"]
     for tab in (serving.WITHIN, serving.CROSS_BORDER):
         s = serving.recent_summary(g, AS_OF, 600, tab, 3).collect()[0]
         assert s["count"] == serving.recent_requests(g, AS_OF, 600, tab, 3).count()
@@ -123,3 +128,9 @@ def test_quality(spark):
     assert [tuple(r) for r in quality.dq_unique(df, ["k"]).collect()] == [("a", 2)]
     assert [tuple(r) for r in quality.dq_duplicate_keys(df, ["k", "id"]).collect()] == [("a", 1, 2)]
     assert [tuple(r) for r in quality.dq_accepted_values(df, "pax", list(range(1, 11)), F.col("pax").isNotNull()).collect()] == [(11, 1)]
+
+
+def test_metrics_without_data_are_zero(spark):
+    got = serving.dashboard_metrics(serving.dashboard_rows(small_gold(spark, []), AS_OF).where("false")).collect()
+    assert len(got) == 8 and all(r.live_15m_count == r.average_rolling_total == r.current_rolling_total == 0 for r in got)
+    assert all(r.daily_points == r.rolling_points == [] for r in got)
