@@ -251,11 +251,8 @@ class Totals:
 
 # --- evaluation -------------------------------------------------------------------------
 
-_EVALUATED = ("kind int, chunk long, place int, doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double, "
-              "bucket int, keys binary, counts binary, mass binary, seen binary, users binary, uses binary")
-_NAMES = [c.split()[0] for c in _EVALUATED.split(", ")]
-_KINDS = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), *[pa.binary()] * 6]
-_DOCUMENT, _CONTEXT = 0, 1
+_DOCUMENTS = "chunk long, place int, doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double"
+_CONTEXTS = "bucket int, chunk long, keys binary, counts binary, mass binary, seen binary, users binary, uses binary"
 
 
 def _aligned(row: dict, kind: int) -> np.ndarray:
@@ -263,60 +260,87 @@ def _aligned(row: dict, kind: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(data, "<u4" if len(data) == 4 * n else "<u8").astype(np.int64) for _, data, n in parts])
 
 
-def _evaluate_batches(batches: Iterable[pa.RecordBatch], totals: Totals, buckets: int) -> Iterator[pa.RecordBatch]:
+@dataclass
+class _Evaluation:
+    """A chunk with the answers to its words and pairs."""
+
+    chunk: Chunk
+    totals: Totals
+    count: np.ndarray  # training count of each local word
+    probability: np.ndarray  # of each local word
+    pairs: np.ndarray  # answers, by distinct pair
+    first: np.ndarray  # a token of each distinct pair
+    context: np.ndarray  # of each token
+    seen: np.ndarray  # training count of each token's pair
+
+    @classmethod
+    def of(cls, row: dict, totals: Totals) -> _Evaluation:
+        chunk, pairs = Chunk.of(row), _aligned(row, _PAIR)
+        count = np.empty(len(chunk.hashes), np.int64)
+        count[np.argsort(chunk.hashes)] = _aligned(row, _WORD) >> 1
+        _, first, place = chunk.pairs()
+        return cls(chunk, totals, count, totals.word_probability(count), pairs, first, chunk.context, (pairs >> 1)[place])
+
+    def documents(self) -> pa.RecordBatch:
+        """Sums by document, but for the weights of contexts."""
+        chunk, totals = self.chunk, self.totals
+        edges = np.concatenate([[0], np.cumsum(chunk.lengths)[:-1]])
+        by_document = lambda values: np.add.reduceat(values, edges)
+        with np.errstate(divide="ignore"):
+            direct = np.log10(totals.pair_discount[np.minimum(self.seen, LARGEST + 1)] * self.seen / np.maximum(self.count[self.context], 1))
+        score = by_document(np.where(self.seen > 0, direct, np.log10(self.probability)[chunk.ids]))
+        base = by_document(np.log10((self.count + 1) / (totals.tokens + totals.words + 1))[chunk.ids])
+        known = by_document((self.count > 0).astype(np.int64)[chunk.ids])
+        columns = [[chunk.number] * len(edges), range(len(edges)), chunk.doc_ids, chunk.learned.tolist(), chunk.lengths.tolist(), known.tolist(),
+                   base.tolist(), score.tolist()]
+        return _batch(_DOCUMENTS, zip(*columns, strict=True))
+
+    def contexts(self, buckets: int) -> pa.RecordBatch:
+        """For each context: how often its own pairs were seen 1, 2, ... times, their words'
+        mass, and the documents that back off there."""
+        chunk, size = self.chunk, len(self.count)
+        owned = np.flatnonzero(self.pairs & 1)
+        owner, times, word = self.context[self.first[owned]], self.pairs[owned] >> 1, chunk.ids[self.first[owned]]
+        of_count = np.stack([np.bincount(owner[times == r], minlength=size) for r in range(1, LARGEST + 1)], 1)
+        mass = np.bincount(owner, self.probability[word], size)
+        backs_off = (self.seen == 0) & (self.count[self.context] > 0)
+        needed, at = np.unique(np.stack([self.context[backs_off], chunk.document[backs_off]], 1), axis=0, return_inverse=True)
+        times_needed = np.bincount(at.reshape(-1), minlength=len(needed))
+        uses = np.bincount(needed[:, 0], minlength=size)
+        order = np.argsort(chunk.hashes)
+        wanted = order[(mass[order] > 0) | (uses[order] > 0)]
+        rank = np.full(size, -1)
+        rank[wanted] = np.arange(len(wanted))
+        by_rank = np.argsort(rank[needed[:, 0]], kind="stable")
+        users = np.stack([needed[by_rank, 1], times_needed[by_rank]], 1).astype("<i4")
+        ends = np.concatenate([[0], np.cumsum(uses[wanted])])
+        rows = []
+        for bucket, s in _slices(chunk.hashes[wanted], buckets):
+            own = wanted[s]
+            rows.append((bucket, chunk.number, _planes(chunk.hashes[own]), self.count[own].astype("<i8").tobytes(), mass[own].astype("<f8").tobytes(),
+                         of_count[own].astype("<i4").tobytes(), users[ends[s.start]:ends[s.stop]].tobytes(), uses[own].astype("<i4").tobytes()))
+        return _batch(_CONTEXTS, rows)
+
+
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def _batch(schema: str, rows: Iterable[tuple]) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _document_batches(batches: Iterable[pa.RecordBatch], totals: Totals) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in _rows(batch):
+            yield _Evaluation.of(row, totals).documents()
+
+
+def _context_batches(batches: Iterable[pa.RecordBatch], totals: Totals, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in _rows(batch):
-            yield from _evaluate(Chunk.of(row), _aligned(row, _WORD), _aligned(row, _PAIR), totals, buckets)
-
-
-def _evaluate(chunk: Chunk, words: np.ndarray, pairs: np.ndarray, totals: Totals, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Sums by document, but for the weights of contexts; and what these are made from."""
-    order = np.argsort(chunk.hashes)
-    count = np.empty(len(order), np.int64)
-    count[order] = words >> 1
-    probability = totals.word_probability(count)
-    edges = np.concatenate([[0], np.cumsum(chunk.lengths)[:-1]])
-    by_document = lambda values: np.add.reduceat(values, edges)
-    _, first, place = chunk.pairs()
-    context = chunk.context
-    seen = (pairs >> 1)[place]
-    known_context = count[context]
-    with np.errstate(divide="ignore"):
-        direct = np.log10(totals.pair_discount[np.minimum(seen, LARGEST + 1)] * seen / np.maximum(known_context, 1))
-    score = by_document(np.where(seen > 0, direct, np.log10(probability[chunk.ids])))
-    base = by_document(np.log10((count + 1) / (totals.tokens + totals.words + 1))[chunk.ids])
-    known = by_document((count[chunk.ids] > 0).astype(np.int64))
-    none = [None] * len(edges)
-    columns = [[_DOCUMENT] * len(edges), [chunk.number] * len(edges), range(len(edges)), chunk.doc_ids, chunk.learned.tolist(), chunk.lengths.tolist(),
-               known.tolist(), base.tolist(), score.tolist(), *[none] * 7]
-    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, _KINDS, strict=True)], names=_NAMES)
-
-    # For each context: how often its own pairs were seen 1, 2, ... times, their words' mass,
-    # and the documents that back off there.
-    owned = np.flatnonzero(pairs & 1)
-    owner, times, word = context[first[owned]], pairs[owned] >> 1, chunk.ids[first[owned]]
-    size = len(order)
-    of_count = np.stack([np.bincount(owner[times == r], minlength=size) for r in range(1, LARGEST + 1)], 1)
-    mass = np.bincount(owner, probability[word], size)
-    backs_off = (seen == 0) & (known_context > 0)
-    uses = np.zeros(size, np.int64)
-    needed, at = np.unique(np.stack([context[backs_off], chunk.document[backs_off]], 1), axis=0, return_inverse=True)
-    times_needed = np.bincount(at.reshape(-1), minlength=len(needed))
-    np.add.at(uses, needed[:, 0], 1)
-    wanted = order[(mass[order] > 0) | (uses[order] > 0)]
-    rank = np.full(size, -1)
-    rank[wanted] = np.arange(len(wanted))
-    by_rank = np.argsort(rank[needed[:, 0]], kind="stable")
-    users = np.stack([needed[by_rank, 1], times_needed[by_rank]], 1).astype("<i4")
-    ends = np.concatenate([[0], np.cumsum(uses[wanted])])
-    out = []
-    for bucket, s in _slices(chunk.hashes[wanted], buckets):
-        own = wanted[s]
-        out.append((_CONTEXT, chunk.number, *[None] * 7, bucket, _planes(chunk.hashes[own]), count[own].astype("<i8").tobytes(),
-                    mass[own].astype("<f8").tobytes(), of_count[own].astype("<i4").tobytes(), users[ends[s.start]:ends[s.stop]].tobytes(),
-                    uses[own].astype("<i4").tobytes()))
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), _KINDS, strict=True)], names=_NAMES)
+            yield _Evaluation.of(row, totals).contexts(buckets)
 
 
 _WEIGHTED = "chunk long, place int, weight double"
@@ -370,11 +394,13 @@ def score_documents(documents: DataFrame, learned: Column, text: str = "text", d
     answers = stored(requests.groupBy("kind", "bucket").applyInArrow(_answer, _ANSWERS), "katz-counts")
     totals = Totals.of(answers)
     given = answers.groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "answers", "n")).alias("given"))
-    evaluated = stored(chunks.join(given, "chunk").mapInArrow(lambda b: _evaluate_batches(b, totals, buckets[0]), _EVALUATED), "katz-evaluated")
-    weights = (evaluated.filter(F.col("kind") == _CONTEXT).select("bucket", "chunk", "keys", "counts", "mass", "seen", "users", "uses")
+    # Evaluated twice, once for each use: keeping the sums of contexts would cost more disk
+    # than the evaluation costs time. Both uses read the same exchanges.
+    answered = chunks.join(given, "chunk")
+    weights = (answered.mapInArrow(lambda b: _context_batches(b, totals, buckets[0]), _CONTEXTS)
                .groupBy("bucket").applyInArrow(lambda table: _weigh(table, totals), _WEIGHTED)
                .groupBy("chunk", "place").agg(F.sum("weight").alias("weight")))
-    found = evaluated.filter(F.col("kind") == _DOCUMENT)
+    found = answered.mapInArrow(lambda b: _document_batches(b, totals), _DOCUMENTS)
     return (found.join(weights, ["chunk", "place"], "left")
             .select("doc_id", "learned", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score",
                     (F.col("score") + F.coalesce("weight", F.lit(0.0))).alias("score")))
