@@ -9,6 +9,7 @@ from kerbside.functions import text
 from kerbside.functions.clock import ntz
 from kerbside.operators.joins import union_all
 from kerbside.schemas import MESSAGE_COLUMNS
+from kerbside.sources.workspace import stored
 
 # Ids are counted in blocks of this size to find where a page ends.
 PAGE_BLOCK = 65_536
@@ -51,8 +52,11 @@ def scan_sources(messages: DataFrame, plan: DataFrame, limited: bool = True) ->
     counts are shuffled, so a source with a third of all messages costs no more than any
     other, and the messages themselves stay where they were read. Copies of one id are
     never split over two pages. Sources of a whole channel are joined by channel, sources
-    of one topic by channel and topic, so a channel with many topics costs no more.
+    of one topic by channel and topic, so a channel with many topics costs no more. The plan
+    and the page ends, one row per source, are stored first: the planner then knows their
+    size and broadcasts them if it may.
     """
+    plan = stored(plan, "plan")
     of_channel, of_topic = plan.where("source_topic_id IS NULL"), plan.where("source_topic_id IS NOT NULL")
     pending = union_all(
         messages.drop("topic_id").join(of_channel, "channel"),
@@ -77,7 +81,7 @@ def scan_sources(messages: DataFrame, plan: DataFrame, limited: bool = True) ->
             .where(F.col("through") >= F.col("wanted"))
             .groupBy("state_key").agg(F.min("id").alias("page_end"))
         )
-        page_rows = (pending.join(ends, "state_key", "left")
+        page_rows = (pending.join(stored(ends, "page-ends"), "state_key", "left")
                      .where(F.col("page_end").isNull() | (F.col("id") <= F.col("page_end"))))
     return page_rows.select(
         "state_key", "sync_mode", "row_limit",

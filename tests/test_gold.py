@@ -112,7 +112,7 @@ def test_a_hot_place_is_split_at_run_time(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        df = gold.enrich_geocodes(stored(wide, "wide"), gold.rank_geocodes(t.cache))
+        df = gold.enrich_geocodes(stored(wide.repartition(8), "wide"), gold.rank_geocodes(t.cache))
         df.write.format("noop").mode("overwrite").save()
         df.collect()
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
@@ -123,7 +123,7 @@ def test_a_hot_place_is_split_at_run_time(spark):
 
 def test_geocodes_are_joined_without_repeating_the_requests(spark):
     t = Tables(spark, SF)
-    plan = gold.gold_requests(t.silver_table, t.cache)._jdf.queryExecution().optimizedPlan().toString()
+    plan = gold.gold_requests(t.silver_table, t.stored(t.cache, "cache"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= 6
 
 
@@ -152,7 +152,7 @@ def test_an_incremental_run_equals_the_affected_rows_of_a_full_one(spark, hours)
 def test_the_incremental_scan_gets_a_time_bound(spark):
     t = Tables(spark, SF)
     df = gold.gold_incremental(t.silver_table, t.cache, "2024-01-20 12:00:00", 6)
-    assert "GreaterThanOrEqual(message_date_gmt8,ScalarSubquery" in explained(df)
+    assert "GreaterThanOrEqual(message_date_gmt8,2024-01" in explained(df)
 
 
 def test_silver_schema_matches_the_plan(spark):

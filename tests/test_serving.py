@@ -57,7 +57,7 @@ def test_live_and_daily(spark):
 def test_dashboard_metrics_without_rows_of_a_kind(spark):
     rows = spark.createDataFrame([("rolling", HITCHER, 1, "2024-01-01 00:15:00", 3.0), ("rolling", HITCHER, 1, "2024-01-01 00:00:00", 1.0)],
                                  "metric string, request_type string, window_hours int, bucket_start_gmt8 string, metric_value double")
-    r = serving.dashboard_metrics(rows).collect()[0]
+    (r,) = serving.dashboard_metrics(rows).where(F.col("request_type") == HITCHER).where("window_hours = 1").collect()
     assert (r.average_rolling_total, r.current_rolling_total, r.live_15m_count) == (2.0, 3.0, 0.0)
     assert [p.total_count for p in r.rolling_points] == [1.0, 3.0]
 
@@ -106,7 +106,7 @@ def test_routes(spark):
 
 def test_feed_filters_reach_the_scan(spark):
     g = Tables(spark, SF).gold_table
-    plan = explained(serving.recent_requests(g, AS_OF))
+    plan = explained(serving.recent_requests(g, AS_OF, limit=7))
     assert "GreaterThanOrEqual(message_date_gmt8" in plan and "EqualTo(request_type,hitcher_request)" in plan
     assert "TakeOrderedAndProject" in plan
     counted = explained(serving.unique_request_count(g, AS_OF, 60, DRIVER))

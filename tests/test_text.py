@@ -9,12 +9,12 @@ from kerbside.schemas import MESSAGE_SCHEMA
 D, H = "driver_request", "hitcher_request"
 CLASSIFIED = [
     # One message for each rule, in the order of the rules.
-    ("biker looking for a pillion, tampines to yishun", None),
+    ("bikers looking for pillions, tampines to yishun", None),
     ("Pillion looking for biker tonight", None),
-    ("good evening, driver looking for two riders, yishun to bedok", D),
+    ("good evening, driver looking for passengers, yishun to bedok", D),
     ("tonight looking for passengers, lakeside to punggol", D),
     ("7 seater available. pickup: lakeside, drop: punggol", D),
-    ("HITCHER LOOKING FOR a lift to punggol", H),
+    ("HITCHER LOOKING FOR DRIVERS to punggol", H),
     ("anyone? looking for driver, two of us", H),
     ("pickup lakeside 6pm, drop punggol", H),
     ("thanks to the driver and the hitcher of yesterday", None),
@@ -36,7 +36,7 @@ def test_classification(spark):
 
 def test_border_routes_collapse_to_the_first_side(spark):
     given = ["SG🇸🇬🇸🇬", "🇲🇾 JB", "jb sg", "sg to jb", "SG / JB", "JB🇲🇾🇸🇬SG", "Sgp Plaza", "Jbel Lane", "Lakeside sg", "🇲🇾🇲🇾", "Punggol ...", None]
-    want = ["SG", "JB", "jb", "sg", "sg", "jb", "Sgp Plaza", "Jbel Lane", "Lakeside sg", None, "Punggol", None]
+    want = ["SG", "JB", "jb", "sg to jb", "sg", "jb", "Sgp Plaza", "Jbel Lane", "Lakeside sg", None, "Punggol", None]
     assert apply(spark, lambda c: text.collapse_border_route(text.strip_flags(c)), given) == want
 
 
@@ -56,7 +56,7 @@ def _message(spark, body):
 
 
 def test_whole_message_and_its_reverse(spark):
-    body = ("Evening all, driver looking for riders\nTime: now\n"
+    body = ("Evening all, driver looking for passengers\nTime: now\n"
             "Pick up: JB🇲🇾SG\nDrop off: SG🇸🇬JB\nPax: 2-4\nmessage me")
     back = body.replace("JB🇲🇾SG", "?").replace("SG🇸🇬JB", "JB🇲🇾SG").replace("?", "SG🇸🇬JB")
     for message, places in ((body, ("jb", "sg")), (back, ("sg", "jb"))):
