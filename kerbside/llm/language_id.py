@@ -35,7 +35,7 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _START = b"\n" * ORDER  # every text is read as if it followed line ends
 _SLOTS = 1 << 22
-_CHUNK = 1 << 22  # bytes scored at once
+_CHUNK = 1 << 20  # bytes scored at once
 
 
 def _grams(data: np.ndarray, order: int) -> np.ndarray:
