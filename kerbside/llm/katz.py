@@ -43,7 +43,7 @@ from xxhash import xxh64_intdigest
 from kerbside.sources.workspace import stored
 
 LARGEST = 5  # counts above are not discounted by Good-Turing
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 5 << 18
 BUCKET_ITEMS = 1 << 20  # n-grams that meet in a bucket, about
 
 _END = b"\n"  # no word
@@ -181,6 +181,16 @@ def _request_batches(batches: Iterable[pa.RecordBatch], buckets: tuple[int, int]
 _ANSWERS = "kind int, bucket int, chunk long, n int, answers binary, distinct long, total long, of_count array<long>"
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs: 2, 4 or 8."""
+    largest = int(counts.max(initial=0))
+    return counts.astype("<u2" if largest < 1 << 16 else "<u4" if largest < 1 << 32 else "<u8").tobytes()
+
+
+def _widened(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // max(1, count)}").astype(np.int64) if count else np.zeros(0, np.int64)
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """One bucket: the training count of every n-gram, twice it plus one for its owner."""
     rows = table.to_pylist()
@@ -197,7 +207,7 @@ def _answer(table: pa.Table) -> pa.Table:
         s = slice(at, at + len(part))
         seen = answers[s][owners[s]] >> 1
         of_count = np.bincount(np.minimum(seen, LARGEST + 2), minlength=LARGEST + 3)[1:LARGEST + 2]
-        out.append((row["kind"], row["bucket"], row["chunk"], len(part), answers[s].astype("<u8" if answers[s].max(initial=0) >> 32 else "<u4").tobytes(),
+        out.append((row["kind"], row["bucket"], row["chunk"], len(part), _narrow(answers[s]),
                     len(seen), int(seen.sum()), of_count.tolist()))
         at = s.stop
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
@@ -257,7 +267,7 @@ _CONTEXTS = "bucket int, chunk long, keys binary, counts binary, mass binary, se
 
 def _aligned(row: dict, kind: int) -> np.ndarray:
     parts = sorted((a["bucket"], a["answers"], a["n"]) for a in row["given"] if a["kind"] == kind)
-    return np.concatenate([np.frombuffer(data, "<u4" if len(data) == 4 * n else "<u8").astype(np.int64) for _, data, n in parts])
+    return np.concatenate([_widened(data, n) for _, data, n in parts])
 
 
 @dataclass
@@ -317,8 +327,8 @@ class _Evaluation:
         rows = []
         for bucket, s in _slices(chunk.hashes[wanted], buckets):
             own = wanted[s]
-            rows.append((bucket, chunk.number, _planes(chunk.hashes[own]), self.count[own].astype("<i8").tobytes(), mass[own].astype("<f8").tobytes(),
-                         of_count[own].astype("<i4").tobytes(), users[ends[s.start]:ends[s.stop]].tobytes(), uses[own].astype("<i4").tobytes()))
+            rows.append((bucket, chunk.number, _planes(chunk.hashes[own]), _narrow(self.count[own]), mass[own].astype("<f8").tobytes(),
+                         _narrow(of_count[own]), users[ends[s.start]:ends[s.stop]].tobytes(), uses[own].astype("<i4").tobytes()))
         return _batch(_CONTEXTS, rows)
 
 
@@ -359,9 +369,9 @@ def _weigh(table: pa.Table, totals: Totals) -> pa.Table:
     own = [_unplanes(r["keys"]) for r in rows]
     keys, place = np.unique(np.concatenate(own), return_inverse=True)
     count = np.zeros(len(keys), np.int64)
-    count[place] = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows])
+    count[place] = np.concatenate([_widened(r["counts"], len(k)) for r, k in zip(rows, own, strict=True)])
     mass = np.bincount(place, np.concatenate([np.frombuffer(r["mass"], "<f8") for r in rows]), len(keys))
-    seen = np.concatenate([np.frombuffer(r["seen"], "<i4").reshape(-1, LARGEST) for r in rows])
+    seen = np.concatenate([_widened(r["seen"], LARGEST * len(k)).reshape(-1, LARGEST) for r, k in zip(rows, own, strict=True)])
     of_count = np.stack([np.bincount(place, seen[:, r], len(keys)) for r in range(LARGEST)], 1)
     weight = np.log10(backoff_weights(count, of_count, mass, totals.pair_discount))
     chunks, places, sums, at = [], [], [], 0
@@ -397,7 +407,7 @@ def score_documents(documents: DataFrame, learned: Column, text: str = "text", d
     # Evaluated twice, once for each use: keeping the sums of contexts would cost more disk
     # than the evaluation costs time. Both uses read the same exchanges.
     answered = chunks.join(given, "chunk")
-    weights = (answered.mapInArrow(lambda b: _context_batches(b, totals, buckets[0]), _CONTEXTS)
+    weights = (answered.mapInArrow(lambda b: _context_batches(b, totals, buckets[1]), _CONTEXTS)
                .groupBy("bucket").applyInArrow(lambda table: _weigh(table, totals), _WEIGHTED)
                .groupBy("chunk", "place").agg(F.sum("weight").alias("weight")))
     found = answered.mapInArrow(lambda b: _document_batches(b, totals), _DOCUMENTS)
