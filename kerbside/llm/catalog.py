@@ -59,7 +59,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every compared line with the occurrence of its group that stays."""
+    """Every line with the occurrence of its group that stays."""
     return fuzzy_lines.similar_lines(_table(spark, sf_dir, "documents"))
 
 
