@@ -38,7 +38,7 @@ class Layout:
 
 
 def _newest_requests(rows: DataFrame) -> DataFrame:
-    return runlog.newest(rows, SILVER_KEYS, ["scraped_at_gmt8"]).select(*SILVER_COLUMNS)
+    return runlog.newest(rows, SILVER_KEYS, ["scraped_at_gmt8"], ["topic_id"]).select(*SILVER_COLUMNS)
 
 
 def _newest_gold(rows: DataFrame) -> DataFrame:

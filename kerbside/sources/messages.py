@@ -22,8 +22,16 @@ def newest_messages(rows: DataFrame) -> DataFrame:
 
 def read_message_table(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """The table that ``append_messages`` keeps. With ``since``, a wall clock, only days of
-    scraping from its date on are opened, and a topic is looked for in these only."""
-    return newest_messages(runlog.read_log(spark, path, MESSAGE_SCHEMA, since))
+    scraping from its date on are opened, and of the others only keys and topics, for
+    messages that have no topic in these days."""
+    found = newest_messages(runlog.read_log(spark, path, MESSAGE_SCHEMA, since))
+    if since is None:
+        return found
+    lacking = found.where("topic_id IS NULL").select(*MESSAGE_KEYS)
+    copies = runlog.read_log(spark, path, MESSAGE_SCHEMA).where("topic_id IS NOT NULL")
+    known = newest_messages(copies.join(lacking, MESSAGE_KEYS, "left_semi")).select(*MESSAGE_KEYS, F.col("topic_id").alias("_known"))
+    return (found.join(known, MESSAGE_KEYS, "left").withColumn("topic_id", F.coalesce("topic_id", "_known"))
+            .select(*MESSAGE_COLUMNS))
 
 
 def write_csv(messages: DataFrame, path: str) -> None:
