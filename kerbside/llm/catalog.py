@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, packing, pii, simhash_golay
+from kerbside.llm import byte_bpe, chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, packing, pii, simhash_golay
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
+RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,7 +75,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination)}
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by the ranks, decoded again."""
+    ids = byte_bpe.encoded(_table(spark, sf_dir, "documents"), *RANKS)
+    back = byte_bpe.decoded(ids.withColumn("doc_id", F.struct("doc_id", "ids")), *RANKS)
+    return back.select("doc_id.doc_id", (F.octet_length("doc_id.ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("doc_id.ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination, op13_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op3_chat": chat.ORACLE,
