@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import byte_bpe, chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, packing, pii, simhash_golay
+from kerbside.llm import byte_bpe, chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, merkle, packing, pii, simhash_golay
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -75,6 +75,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of every document in its language's tree, folded from a leaf that may be tampered with."""
+    documents = _table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = merkle.leaf_digest(*(F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns))
+    leaves = documents.select(merkle.tree_key(F.col("lang")).alias("tree"), "doc_id", merkle.leaf_digest(*map(F.col, columns)).alias("digest"),
+                              F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, changed).alias("claimed"))
+    found = merkle.manifest(leaves, ["doc_id"])[0].withColumn("claimed", F.coalesce("claimed", "digest"))
+    found = found.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", merkle.siblings_digest().alias("proof_sha256"), merkle.folded("claimed").alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the ranks, decoded again."""
     ids = byte_bpe.encoded(_table(spark, sf_dir, "documents"), *RANKS)
@@ -83,7 +95,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("doc_id.ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination, op12_merkle, op13_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op3_chat": chat.ORACLE,
@@ -92,4 +104,5 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op12_merkle": merkle.ORACLE,
 }
