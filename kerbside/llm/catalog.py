@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import byte_bpe, chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, merkle, packing, pii, simhash_golay
+from kerbside.llm import byte_bpe, chat, decontamination, exact_dedup, fuzzy_lines, katz, language_id, licenses, merkle, packing, pii, simhash_golay, whitening
 
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -75,6 +75,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates of every vector along the four leading components, at unit variance."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=4)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of every document in its language's tree, folded from a leaf that may be tampered with."""
     documents = _table(spark, sf_dir, "documents")
@@ -95,7 +100,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("doc_id.ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination, op12_merkle, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination, op11_whitening, op12_merkle, op13_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op3_chat": chat.ORACLE,
