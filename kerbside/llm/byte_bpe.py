@@ -101,20 +101,29 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self._splitter = Splitter(pattern)
+        self._pattern = pattern
+        self._pairs: dict[int, bool] = {}
+        self._known: dict[str, bytes] = {}
+        self._automaton = None
+
+    def _prepare(self) -> None:
+        """What only encoding needs; a worker that decodes does without."""
+        ranks = self.ranks
+        self._splitter = Splitter(self._pattern)
         self._longest_token = max(map(len, ranks), default=1)
         self._automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
             self._automaton.add_word(token.decode("latin-1"), rank)
         self._automaton.make_automaton()
         self._sizes = {rank: len(token) for token, rank in ranks.items()}
+        self._base = max(ranks.values(), default=0) + 1
         # The longest token that is a proper prefix of each.
         self._shorter = {rank: next((ranks[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in ranks), None) for t, rank in ranks.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if self._automaton is None:
+            self._prepare()
         out, known = bytearray(), self._known
         for piece in self._splitter.pieces(text):
             ids = known.get(piece)
@@ -143,7 +152,7 @@ class Codec:
         return (array("I", [whole]) if whole is not None else self._backtrack(piece)).tobytes()
 
     def _backtrack(self, piece: bytes) -> array:
-        size, latin, sizes, pairs, shorter = len(piece), piece.decode("latin-1"), self._sizes, self._pairs, self._shorter
+        size, latin, sizes, pairs, shorter, base_id = len(piece), piece.decode("latin-1"), self._sizes, self._pairs, self._shorter, self._base
         out, left, place, last = array("I"), bytearray(size + 1), 0, -1
         base, longest = 0, self._matches(latin, 0)
         token = longest[0]
@@ -151,7 +160,7 @@ class Codec:
             while token is not None:
                 end = place + sizes[token]
                 if not left[end]:
-                    fits = last < 0 or pairs.get((last, token))
+                    fits = last < 0 or pairs.get(last * base_id + token)
                     if fits is None:
                         fits = self._compatible(last, token)
                     if fits:
@@ -189,13 +198,10 @@ class Codec:
 
     def _compatible(self, first: int, second: int) -> bool:
         """Whether merging the bytes of both tokens gives just these two."""
-        pair = (first, second)
-        found = self._pairs.get(pair)
-        if found is None:
-            if len(self._pairs) >= REMEMBERED:
-                self._pairs.clear()
-            a, b = self.tokens[first], self.tokens[second]
-            found = self._pairs[pair] = merged(a + b, self.ranks) == [a, b]
+        if len(self._pairs) >= REMEMBERED:
+            self._pairs.clear()
+        a, b = self.tokens[first], self.tokens[second]
+        found = self._pairs[first * self._base + second] = merged(a + b, self.ranks) == [a, b]
         return found
 
 
