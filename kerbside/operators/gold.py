@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock, text
+from kerbside.operators.joins import union_all
 from kerbside.operators.silver import lookback_filter
 from kerbside.operators.upsert import upsert
 from kerbside.schemas import GEOCODE_SUFFIXES, GOLD_COLUMNS
@@ -196,10 +197,81 @@ def gold_incremental(silver: DataFrame, cache: DataFrame, as_of: str | datetime
     return _project(repost_dedup(keyed, gap_hours).join(changed, "silver_request_id", "left_semi"))
 
 
+def rescraped(silver: DataFrame, as_of: str | datetime, hours: int = 6) -> DataFrame:
+    """Ids of every request scraped within the lookback, parsed or not."""
+    return (lookback_filter(silver, "scraped_at_gmt8", as_of, hours)
+            .select(text.silver_request_id(F.col("channel"), F.col("message_id")).alias("silver_request_id")).distinct())
+
+
 def gold_merge(gold: DataFrame, batch: DataFrame, silver: DataFrame, as_of: str | datetime, hours: int = 6) -> DataFrame:
     """Delete the Gold rows of every request scraped within the lookback, parsed or not,
     then merge the batch on ``gold_request_id``."""
-    rescraped = (lookback_filter(silver, "scraped_at_gmt8", as_of, hours)
-                 .select(text.silver_request_id(F.col("channel"), F.col("message_id")).alias("silver_request_id")).distinct())
-    remaining = gold.join(rescraped, "silver_request_id", "left_anti").select(*gold.columns)
+    remaining = gold.join(rescraped(silver, as_of, hours), "silver_request_id", "left_anti").select(*gold.columns)
     return upsert(remaining, batch, ["gold_request_id"])
+
+
+def _slot_start(gap_hours: int) -> Column:
+    """The start of a post's slot, null without a time: a window would drop such a row."""
+    epoch = "timestamp_ntz '1970-01-01 00:00:00'"
+    return F.expr(f"timestampadd(HOUR, cast(floor(timestampdiff(SECOND, {epoch}, message_date_gmt8) / {3600 * gap_hours}) * {gap_hours} AS int), {epoch})")
+
+
+# --- Late posts ------------------------------------------------------------------------
+
+def changed_requests(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Ids of requests whose Silver row is new, gone or different, whenever it was posted."""
+    def marked(silver: DataFrame, name: str) -> DataFrame:
+        return silver.select(text.silver_request_id(F.col("channel"), F.col("message_id")).alias("silver_request_id"),
+                             F.sha2(F.to_json(F.struct(*sorted(silver.columns)), {"ignoreNullFields": "false"}), 256).alias(name))
+
+    both = marked(before, "_before").join(marked(after, "_after"), "silver_request_id", "full_outer")
+    return both.where(~F.col("_before").eqNullSafe(F.col("_after"))).select("silver_request_id").distinct()
+
+
+def requests_at(silver: DataFrame, places: DataFrame) -> DataFrame:
+    """Ids of parsed requests from or to one of ``places`` (normalized_location): what a new
+    or reviewed geocode changes."""
+    requests = parsed_requests(silver)
+    ends = requests.select("silver_request_id", F.explode(F.array("normalized_pickup_location", "normalized_dropoff_location")).alias("normalized_location"))
+    return ends.join(places.select("normalized_location").distinct(), "normalized_location", "left_semi").select("silver_request_id").distinct()
+
+
+def late_post_changes(before: DataFrame, after: DataFrame, cache: DataFrame, changed: DataFrame,
+                      gap_hours: int = GAP_HOURS) -> tuple[DataFrame, DataFrame]:
+    """What changed requests change in Gold, however old: (ids to retract, rows to add).
+
+    ``before`` and ``after`` are Silver around the change and ``changed`` ids of requests. A
+    post decides only about its user's posts in its own slot and the slot after: a slot's
+    decision reads the posts of two slots, not their decisions, so the change ends there. So
+    both versions of a changed request make these two slots dirty; dirty slots are decided
+    anew from their posts and those of the slots before, and all their rows replaced. Rows
+    that read the same before and after are retracted and added with the same values. Posts
+    without a time or user touch no others. Both results are written out.
+    """
+    gap = clock.hours(gap_hours)
+
+    def posts(silver: DataFrame) -> DataFrame:
+        return parsed_requests(silver).withColumns({"_user": user_key(), "_slot": _slot_start(gap_hours)})
+
+    changed = stored(changed.select("silver_request_id").distinct(), "changed")
+    moved = [posts(s).join(changed, "silver_request_id", "left_semi").select("_user", "_slot") for s in (before, after)]
+    dirty = moved[0].unionByName(moved[1]).select("_user", F.explode(F.array("_slot", F.col("_slot") + gap)).alias("_slot")).distinct()
+    dirty = stored(dirty.where("_user IS NOT NULL AND _slot IS NOT NULL"), "dirty-slots")
+    # A slot that is dirty is decided; one that only precedes such a slot is read.
+    read = dirty.select("_user", "_slot", F.lit(True).alias("_dirty")).unionByName(
+        dirty.select("_user", (F.col("_slot") - gap).alias("_slot"), F.lit(False).alias("_dirty")))
+    read = read.groupBy("_user", "_slot").agg(F.max("_dirty").alias("_dirty"))
+    now = posts(after)
+    slotless = now.where("_user IS NULL OR _slot IS NULL").join(changed, "silver_request_id", "left_semi").withColumn("_dirty", F.lit(True))
+    near = now.where(_within_days(read, gap_hours)).join(read, ["_user", "_slot"]).unionByName(slotless)
+    near = stored(near.drop("_user", "_slot"), "dirty-posts")
+    decided = near.where("_dirty").select("silver_request_id").distinct()
+    retracted = stored(decided.unionByName(changed).distinct(), "retracted")
+    rows = repost_dedup(_geocoded(near.drop("_dirty"), cache), gap_hours).join(decided, "silver_request_id", "left_semi")
+    return retracted, stored(_project(rows), "late-gold")
+
+
+def apply_changes(gold: DataFrame, retracted: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Gold without the retracted requests' rows and with the fresh ones. A stored table that
+    is bucketed by request takes them by ``sources.buckets.replace_bucketed``."""
+    return union_all(gold.join(retracted, "silver_request_id", "left_anti").select(*fresh.columns), fresh)

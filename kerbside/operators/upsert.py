@@ -22,13 +22,13 @@ def schema_difference(df: DataFrame, expected: Sequence[str]) -> tuple[list[str]
 
 
 def schema_guard(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """Report ``(column_name, status)``, status in expected, missing, extra. Only the schema
-    of ``df`` is looked at."""
+    """Report ``(column_name, status, table_rows)``: status in expected, missing, extra, and
+    how many rows a migration would touch. Rows are counted without reading a column."""
     missing, extra = schema_difference(df, expected)
     present = [name for name in expected if name.lower() not in missing]
     report = [(n, "expected") for n in present] + [(n, "missing") for n in missing] + [(n, "extra") for n in extra]
     entries = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(s).alias("status")) for n, s in report])
-    return df.sparkSession.range(1).select(F.inline(entries))
+    return df.agg(F.count(F.lit(1)).alias("table_rows")).select(F.inline(entries), "table_rows")
 
 
 def require_schema(df: DataFrame, expected: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ Keys are operator names. Every query takes ``(spark, sf_dir)`` and reads whole t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -16,8 +17,8 @@ from kerbside.functions import clock, text
 from kerbside.operators import geocode, gold, ingest, quality, serving, silver, upsert
 from kerbside.operators.joins import union_all
 from kerbside.schemas import (DRIVER, GOLD_SCHEMA, HITCHER, MESSAGE_COLUMNS, MESSAGE_KEYS, PAX_COUNTS,
-                              RESOLUTION_STATUSES)
-from kerbside.sources import sample
+                              RESOLUTION_STATUSES, SILVER_KEYS)
+from kerbside.sources import buckets, sample
 from kerbside.sources.messages import read_message_table, read_messages, write_csv
 from kerbside.sources.sample import AS_OF
 from kerbside.sources.workspace import new_folder, stored
@@ -123,6 +124,16 @@ class Tables:
     def page(self) -> DataFrame:
         return ingest.scan_sources(self.messages, self.plan)
 
+    @cached_property
+    def upsert_batch(self) -> DataFrame:
+        """Edits, a fifth of them under new ids and half without their topic."""
+        fresh = F.when(F.col("id") % 5 == 0, F.col("id") + NEW_IDS).otherwise(F.col("id"))
+        return self.edits.withColumn("topic_id", F.when(F.col("id") % 2 == 0, F.col("topic_id"))).withColumn("id", fresh)
+
+    def bucketed(self, df: DataFrame, name: str, keys: list[str]) -> buckets.BucketedTable:
+        """A table of its own in the session's catalogue."""
+        return buckets.create_bucketed(df, f"{name}_{uuid.uuid4().hex}", keys)
+
 
 def _run_at() -> Column:
     return F.lit(RUN_AT).cast("timestamp")
@@ -192,16 +203,21 @@ def checkpoint_rebuild(t: Tables) -> DataFrame:
 
 @query
 def bronze_upsert(t: Tables) -> DataFrame:
-    fresh = F.when(F.col("id") % 5 == 0, F.col("id") + NEW_IDS).otherwise(F.col("id"))
-    batch = t.edits.withColumn("topic_id", F.when(F.col("id") % 2 == 0, F.col("topic_id"))).withColumn("id", fresh)
-    return upsert.upsert(t.messages, batch, MESSAGE_KEYS, ["topic_id"])
+    return upsert.upsert(t.messages, t.upsert_batch, MESSAGE_KEYS, ["topic_id"])
+
+
+@query
+def bronze_upsert_bucketed(t: Tables) -> DataFrame:
+    """The same merge into a table bucketed by key: the table is not exchanged."""
+    table = t.bucketed(t.messages, "bronze", MESSAGE_KEYS)
+    buckets.upsert_bucketed(table, t.stored(t.upsert_batch, "edits"), ["topic_id"])
+    return table.read()
 
 
 @query
 def schema_guard(t: Tables) -> DataFrame:
     legacy = t.messages.drop("sender_handle", "scraped_at_gmt8").withColumnRenamed("message_date_gmt8", LEGACY_COLUMN)
-    rows = legacy.agg(F.count(F.lit(1))).scalar()
-    return upsert.schema_guard(legacy, MESSAGE_COLUMNS).withColumn("table_rows", rows)
+    return upsert.schema_guard(legacy, MESSAGE_COLUMNS)
 
 
 @query
@@ -292,6 +308,13 @@ def silver_merge(t: Tables) -> DataFrame:
     return silver.silver_merge(t.first_silver_table, silver.silver_requests(t.copies, AS_OF, MERGE_HOURS))
 
 
+@query
+def silver_merge_bucketed(t: Tables) -> DataFrame:
+    table = t.bucketed(t.first_silver_table, "silver", SILVER_KEYS)
+    buckets.upsert_bucketed(table, t.stored(silver.silver_requests(t.copies, AS_OF, MERGE_HOURS), "batch"))
+    return table.read()
+
+
 # --- C: places -----------------------------------------------------------------------
 
 @query
@@ -478,6 +501,25 @@ def gold_merge(t: Tables) -> DataFrame:
     return gold.gold_merge(before, batch, t.silver_table, AS_OF, MERGE_HOURS)
 
 
+@query
+def gold_merge_bucketed(t: Tables) -> DataFrame:
+    """Bucketed by request: requests seen again are deleted and added in their slices only."""
+    table = t.bucketed(gold.gold_requests(t.first_silver_table, t.cache), "gold", ["silver_request_id"])
+    batch = t.stored(gold.gold_incremental(t.silver_table, t.cache, AS_OF, MERGE_HOURS), "batch")
+    buckets.replace_bucketed(table, t.stored(gold.rescraped(t.silver_table, AS_OF, MERGE_HOURS), "seen"), batch)
+    return table.read()
+
+
+@query
+def gold_late_posts(t: Tables) -> DataFrame:
+    """Every other post comes late, in no order of time, after Gold was made of the rest and of
+    first copies. What it changes in other requests changes too: Gold is that of a full refresh."""
+    early = t.stored(t.first_silver_table.where("message_id % 2 = 0"), "early")
+    before = t.stored(gold.gold_requests(early, t.cache), "gold")
+    changes = gold.late_post_changes(early, t.silver_table, t.cache, gold.changed_requests(early, t.silver_table))
+    return gold.apply_changes(before, *changes)
+
+
 # --- E: serving ----------------------------------------------------------------------
 
 @query

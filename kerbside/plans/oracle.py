@@ -465,6 +465,7 @@ ORACLE = {
     "gold_incremental": f"SELECT * FROM {{gold}} WHERE scraped_at_gmt8 >= {NOW} - INTERVAL 48 HOUR",
     "gold_merge": f"""SELECT * FROM {{gold}} WHERE scraped_at_gmt8 >= {_MERGE_FROM} UNION ALL
       SELECT * FROM {{first_gold}} WHERE silver_request_id NOT IN (SELECT {sid()} FROM {{silver}} WHERE scraped_at_gmt8 >= {_MERGE_FROM})""",
+    "gold_late_posts": "SELECT * FROM {gold}",
     "recent_requests": feed(720, WITHIN),
     "route_within": f"SELECT * FROM {{gold}} WHERE {WITHIN}",
     "route_cross_border": f"SELECT * FROM {{gold}} WHERE {CROSS}",
@@ -532,5 +533,9 @@ def statement(sql: str) -> str:
     return f"WITH RECURSIVE {', '.join(ordered.values())} {main}" if ordered else main
 
 
+# The same merges into bucketed tables.
+ORACLE |= {f"{name}_bucketed": ORACLE[name] for name in ("bronze_upsert", "silver_merge", "gold_merge")}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in ORACLE.items()}
