@@ -15,15 +15,16 @@ How it is laid out. The documents of a task are cut into chunks of about ``CHUNK
 tokens, stored with their local vocabulary. A chunk sends each of its distinct words and
 word pairs once, as 64-bit hashes in sorted slices of the hash space; a bucket merges the
 slices of all chunks, and answers each with the training counts, in the order it came. It
-marks every counted n-gram in one of its chunks, its owner. These tables (words and pairs by
-bucket, weights by context) are the model. With the answers a chunk evaluates its tokens;
+marks every counted n-gram in one of its chunks, its owner. What is stored are these answers
+by place, so the model serves the texts it is called with. With them a chunk evaluates its tokens;
 it also sums up, for the pairs it owns, what alpha of their contexts needs, and sends the
 sums and the documents that need the weight to buckets of contexts. All exchanges are by
 hash of distinct items, so the commonest word costs one entry per chunk. Hashes of 64 bits
 stand for words and pairs.
 
 A null text has no words. A row without identifier is held out. Repeated rows are documents
-of their own.
+of their own. An empty table gives no rows; with no training rows every word is unknown. Only
+the named columns are read, whatever others there are. A text longer than a chunk is a chunk.
 """
 
 from __future__ import annotations
@@ -261,7 +262,7 @@ class Totals:
 
 # --- evaluation -------------------------------------------------------------------------
 
-_DOCUMENTS = "chunk long, place int, doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double"
+_DOCUMENTS = "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double"
 _CONTEXTS = "bucket int, chunk long, keys binary, counts binary, mass binary, seen binary, users binary, uses binary"
 
 
@@ -291,17 +292,19 @@ class _Evaluation:
         _, first, place = chunk.pairs()
         return cls(chunk, totals, count, totals.word_probability(count), pairs, first, chunk.context, (pairs >> 1)[place])
 
-    def documents(self) -> pa.RecordBatch:
-        """Sums by document, but for the weights of contexts."""
+    def documents(self, weights: list[dict]) -> pa.RecordBatch:
+        """Sums by document; ``weights`` holds what buckets of contexts found for some places."""
         chunk, totals = self.chunk, self.totals
         edges = np.concatenate([[0], np.cumsum(chunk.lengths)[:-1]])
         by_document = lambda values: np.add.reduceat(values, edges)
         with np.errstate(divide="ignore"):
             direct = np.log10(totals.pair_discount[np.minimum(self.seen, LARGEST + 1)] * self.seen / np.maximum(self.count[self.context], 1))
         score = by_document(np.where(self.seen > 0, direct, np.log10(self.probability)[chunk.ids]))
+        for part in sorted(weights, key=lambda w: w["bucket"]):
+            score[np.frombuffer(part["places"], "<i4")] += np.frombuffer(part["weights"], "<f8")
         base = by_document(np.log10((self.count + 1) / (totals.tokens + totals.words + 1))[chunk.ids])
         known = by_document((self.count > 0).astype(np.int64)[chunk.ids])
-        columns = [[chunk.number] * len(edges), range(len(edges)), chunk.doc_ids, chunk.learned.tolist(), chunk.lengths.tolist(), known.tolist(),
+        columns = [chunk.doc_ids, chunk.learned.tolist(), chunk.lengths.tolist(), known.tolist(),
                    base.tolist(), score.tolist()]
         return _batch(_DOCUMENTS, zip(*columns, strict=True))
 
@@ -344,7 +347,7 @@ def _batch(schema: str, rows: Iterable[tuple]) -> pa.RecordBatch:
 def _document_batches(batches: Iterable[pa.RecordBatch], totals: Totals) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in _rows(batch):
-            yield _Evaluation.of(row, totals).documents()
+            yield _Evaluation.of(row, totals).documents(row["given_weights"] or [])
 
 
 def _context_batches(batches: Iterable[pa.RecordBatch], totals: Totals, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -353,7 +356,7 @@ def _context_batches(batches: Iterable[pa.RecordBatch], totals: Totals, buckets:
             yield _Evaluation.of(row, totals).contexts(buckets)
 
 
-_WEIGHTED = "chunk long, place int, weight double"
+_WEIGHTED = "chunk long, bucket int, places binary, weights binary"
 
 
 def backoff_weights(count: np.ndarray, of_count: np.ndarray, mass: np.ndarray, discount: np.ndarray) -> np.ndarray:
@@ -364,7 +367,8 @@ def backoff_weights(count: np.ndarray, of_count: np.ndarray, mass: np.ndarray, d
 
 
 def _weigh(table: pa.Table, totals: Totals) -> pa.Table:
-    """One bucket of contexts: their weights, summed for each document that needs them."""
+    """One bucket of contexts: their weights, summed for each document that needs them; one
+    row for each chunk, so that rows do not grow with documents times buckets."""
     rows = table.to_pylist()
     own = [_unplanes(r["keys"]) for r in rows]
     keys, place = np.unique(np.concatenate(own), return_inverse=True)
@@ -374,17 +378,15 @@ def _weigh(table: pa.Table, totals: Totals) -> pa.Table:
     seen = np.concatenate([_widened(r["seen"], LARGEST * len(k)).reshape(-1, LARGEST) for r, k in zip(rows, own, strict=True)])
     of_count = np.stack([np.bincount(place, seen[:, r], len(keys)) for r in range(LARGEST)], 1)
     weight = np.log10(backoff_weights(count, of_count, mass, totals.pair_discount))
-    chunks, places, sums, at = [], [], [], 0
+    out, at = [], 0
     for row, part in zip(rows, own, strict=True):
         users = np.frombuffer(row["users"], "<i4").reshape(-1, 2).astype(np.int64)
         of_user = np.repeat(weight[place[at:at + len(part)]], np.frombuffer(row["uses"], "<i4"))
         at += len(part)
         documents, to = np.unique(users[:, 0], return_inverse=True)
-        chunks += [row["chunk"]] * len(documents)
-        places += documents.tolist()
-        sums += np.bincount(to, of_user * users[:, 1], len(documents)).tolist()
-    return pa.Table.from_arrays([pa.array(chunks, pa.int64()), pa.array(places, pa.int32()), pa.array(sums, pa.float64())],
-                                names=["chunk", "place", "weight"])
+        sums = np.bincount(to, of_user * users[:, 1], len(documents))
+        out.append((row["chunk"], row["bucket"], documents.astype("<i4").tobytes(), sums.astype("<f8").tobytes()))
+    return pa.Table.from_batches([_batch(_WEIGHTED, out)])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -409,8 +411,6 @@ def score_documents(documents: DataFrame, learned: Column, text: str = "text", d
     answered = chunks.join(given, "chunk")
     weights = (answered.mapInArrow(lambda b: _context_batches(b, totals, buckets[1]), _CONTEXTS)
                .groupBy("bucket").applyInArrow(lambda table: _weigh(table, totals), _WEIGHTED)
-               .groupBy("chunk", "place").agg(F.sum("weight").alias("weight")))
-    found = answered.mapInArrow(lambda b: _document_batches(b, totals), _DOCUMENTS)
-    return (found.join(weights, ["chunk", "place"], "left")
-            .select("doc_id", "learned", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score",
-                    (F.col("score") + F.coalesce("weight", F.lit(0.0))).alias("score")))
+               .groupBy("chunk").agg(F.collect_list(F.struct("bucket", "places", "weights")).alias("given_weights")))
+    found = answered.join(weights, "chunk", "left").mapInArrow(lambda b: _document_batches(b, totals), _DOCUMENTS)
+    return found.select("doc_id", "learned", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score")
