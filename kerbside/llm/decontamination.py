@@ -20,7 +20,10 @@ holds is bounded for a benchmark of any size. Items that repeat a text are one q
 Words are split at ASCII white space after lower-casing A-Z. A text of fewer words than a
 shingle is one shingle; an item without words matches nothing, and a document shorter than
 an item is one window. Null texts have no words. Rows are independent, repeats get equal
-results; items or documents without identifier are reported with a null one.
+results; items or documents without identifier are reported with a null one. Of windows that
+tie in similarity the first is reported. A very long text is fingerprinted in stretches, so
+memory beside its words and shingles does not follow its length. Empty tables give no rows;
+of other columns none is read.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 19
 BLOCK_SHINGLES, BLOCK_ITEMS = 200_000, 2_000
+STARTS, SPAN = 4096, 1 << 14  # windows fingerprinted at once, and the shingles they start in
 
 _FILTER_BITS = 22
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -165,6 +169,13 @@ class MultiIndex:
         return [tuple(p) for p in np.unique(np.concatenate(found), axis=0).tolist()]
 
 
+def _stretches(starts: np.ndarray) -> Iterator[np.ndarray]:
+    """``starts`` cut by number and by how far they reach, since running sums cover the reach."""
+    for part in np.split(starts, np.flatnonzero(np.diff(starts // SPAN)) + 1):
+        for at in range(0, len(part), STARTS):
+            yield part[at:at + STARTS]
+
+
 def matches(items: Items, words: np.ndarray, shingle: int, similarity: float) -> list[tuple[int, int, int, float]]:
     """(item, start, length in shingles, similarity): each similar item's
     best window of a document."""
@@ -178,8 +189,7 @@ def matches(items: Items, words: np.ndarray, shingle: int, similarity: float) ->
         np.add.at(edges, np.minimum(places, last) + 1, -1)
         starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
         index = items.index(size)
-        for at in range(0, len(starts), 4096):
-            own = starts[at:at + 4096]
+        for own in _stretches(starts):
             fps = window_fingerprints(hashes, width, own)
             for place, item in index.search(fps):
                 start = int(own[place])
@@ -245,9 +255,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
     return spark.createDataFrame([], SCHEMA) if found is None else found
 
 
-def without_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``documents`` that hold no benchmark item. All columns stay; a document without
-    identifier stays, since no row can name it."""
-    doc_id = options.get("doc_id", "doc_id")
-    found = stored(contaminated(documents, benchmark, **options).select(F.col("doc_id").alias(doc_id)).distinct(), "contaminated")
-    return documents.join(found, doc_id, "left_anti").select(*documents.columns)
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``documents`` that hold no benchmark item. All columns stay. Whether a row goes is
+    decided by its text alone, so rows without identifier, or that share one, go or stay on
+    their own; a null text stays."""
+    taken = "_" * (1 + max((len(c) for c in documents.columns), default=0))  # longer than any name, so free
+    key = F.xxhash64(F.col(text).cast("string"))
+    found = contaminated(documents.select(key.alias("key"), F.col(text).alias("text")), benchmark, doc_id="key", **options)
+    found = stored(found.select(F.col("doc_id").alias(taken)).distinct(), "contaminated")
+    return documents.join(found, key == F.col(taken), "left_anti").select(*documents.columns)

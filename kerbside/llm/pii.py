@@ -8,19 +8,27 @@ windows of the documents: each is labelled by the patterns, and rewritten by ``V
 into the other forms, whose labels are known by construction. Windows without a base span
 are the negative examples.
 
-Decoding is exact Viterbi, in numpy over batches of windows of like length. A window is a
-run of tokens around a digit, an at sign or a bracketed "at"; no span of any kind can lie
-outside one. An added span must keep its kind's own rule (Luhn sum, parts up to 255, number
+Decoding is exact Viterbi, in numpy over batches of windows of like length, whose padded size
+is bounded; a long window is decoded in stretches that carry the scores on. A window is a run
+of tokens around a digit, an at sign or a bracketed "at", up to white space on both sides; no
+span of any kind can lie outside one. An added span must keep its kind's own rule (Luhn sum, parts up to 255, number
 of digits, a whole address) and may not touch a base span, so clean text stays clean.
 
 Null texts count as empty. Rows are independent of each other: nothing is shuffled, repeated
-rows get equal results, and a document's cost is linear in its length.
+rows get equal results, and a document's cost is linear in its length. Paths that tie take the
+tag that comes first in ``TAGS``. An empty table gives no rows and trains no field: then only
+the base spans are found. Of other columns, whatever their names, none is read.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Sequence as Sequence_
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +39,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 MAX_LABELLED = 160  # windows in the labelled table
 SAMPLE_DOCUMENTS = 4000  # documents they come from, about
+LABELLED_CHARACTERS = 360  # longer windows are not taken into the labelled table
+BATCH_TOKENS = 1 << 14  # decoded at once, padding included
 REACH = 48  # characters of context on each side
 
 Span = tuple[str, int, int]
@@ -43,6 +53,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _TRIGGER = re.compile(r"[0-9@]|[\[({]\x20?(?:at|AT)\x20?[\])}]")
+_SPACE = re.compile(r"\s")
 _TOKEN = re.compile(r"[A-Za-zÀ-ÿ]+|[0-9]+|[^\sA-Za-zÀ-ÿ0-9]")
 
 
@@ -97,21 +108,20 @@ def written(spans: list[Span]) -> str:
 # --- windows and features ---------------------------------------------------------------
 
 
-def windows(text: str, reach: int = REACH, longest_word: int = 256) -> list[tuple[int, int]]:
-    """Disjoint stretches within ``reach`` characters of a trigger, widened to white space
-    where that is no more than ``longest_word`` further away."""
+def windows(text: str, reach: int = REACH) -> list[tuple[int, int]]:
+    """Disjoint stretches within ``reach`` characters of a trigger, widened to white space."""
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
         if out and m.end() + reach <= out[-1][1]:
             continue
-        start, end = max(0, m.start() - reach), min(len(text), m.end() + reach)
-        left, right = max(0, start - longest_word), min(len(text), end + longest_word)
-        while left < start and not text[start - 1].isspace():
+        before = out[-1][1] if out else 0
+        start, end = max(before, m.start() - reach), min(len(text), m.end() + reach)
+        while start > before and not text[start - 1].isspace():
             start -= 1
-        while end < right and not text[end].isspace():
-            end += 1
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        space = _SPACE.search(text, end)
+        end = space.start() if space else len(text)
+        if out and start <= before:
+            out[-1] = (out[-1][0], end)
         else:
             out.append((start, end))
     return out
@@ -127,14 +137,17 @@ def _shape(token: str) -> str:
     return ("x" if token.islower() else "X" if token.isupper() else "Xx") + ("1" if len(token) == 1 else "")
 
 
-def token_features(tokens: list[str], gaps: list[bool]) -> list[list[str]]:
-    """Names of the features of each token. ``gaps``: white space comes before the token."""
-    shapes = ["<", "<", *map(_shape, tokens), ">", ">"]
-    gap = [True, True, *gaps, True, True]
-    marks = [("_" if g else "") + s for s, g in zip(shapes, gap, strict=True)]
+def token_marks(tokens: list[str], gaps: list[bool]) -> list[str]:
+    """The shape of each token and whether white space comes before it, two ends around."""
+    marks = [sys.intern(("_" if g else "") + _shape(t)) for t, g in zip(tokens, gaps, strict=True)]
+    return ["_<", "_<", *marks, "_>", "_>"]
+
+
+def token_features(marks: list[str], start: int, end: int) -> list[list[str]]:
+    """Names of the features of tokens ``start`` to ``end`` from their neighbours' marks."""
     out = []
-    for i in range(2, len(tokens) + 2):
-        a, b, c, d, e = marks[i - 2:i + 3]
+    for i in range(start, end):
+        a, b, c, d, e = marks[i:i + 5]
         out.append([f"0{c}", f"-{b}", f"+{d}", f"--{a}", f"++{e}", f"-0{b}|{c}", f"0+{c}|{d}", f"-0+{b}|{c}|{d}",
                     f"--0{a}|{b}|{c}", f"0++{c}|{d}|{e}"])
     return out
@@ -144,17 +157,25 @@ def token_features(tokens: list[str], gaps: list[bool]) -> list[list[str]]:
 class Sequence:
     """A window's tokens with their places in the text."""
 
-    tokens: list[str]
-    starts: list[int]
-    ends: list[int]
-    features: list[list[str]]
+    marks: list[str]
+    starts: array
+    ends: array
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def features(self, start: int = 0, end: int | None = None) -> list[list[str]]:
+        return token_features(self.marks, start, len(self) if end is None else min(end, len(self)))
 
 
 def sequence_of(text: str, start: int, end: int) -> Sequence:
-    found = list(_TOKEN.finditer(text, start, end))
-    tokens, starts, ends = [m.group() for m in found], [m.start() for m in found], [m.end() for m in found]
-    gaps = [i == 0 or starts[i] > ends[i - 1] for i in range(len(found))]
-    return Sequence(tokens, starts, ends, token_features(tokens, gaps))
+    tokens, starts, ends = [], array("q"), array("q")
+    for m in _TOKEN.finditer(text, start, end):
+        tokens.append(m.group())
+        starts.append(m.start())
+        ends.append(m.end())
+    gaps = [i == 0 or starts[i] > ends[i - 1] for i in range(len(starts))]
+    return Sequence(token_marks(tokens, gaps), starts, ends)
 
 
 # --- the field --------------------------------------------------------------------------
@@ -175,7 +196,7 @@ def _allowed() -> np.ndarray:
 
 
 def tags_of(sequence: Sequence, spans: list[Span]) -> list[int]:
-    tags = [0] * len(sequence.tokens)
+    tags = [0] * len(sequence)
     for kind, start, end in spans:
         inside = [i for i, (s, e) in enumerate(zip(sequence.starts, sequence.ends, strict=True)) if s < end and e > start]
         for n, i in enumerate(inside):
@@ -183,11 +204,12 @@ def tags_of(sequence: Sequence, spans: list[Span]) -> list[int]:
     return tags
 
 
-def _padded(rows: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers as [row, token, feature], and each row's length; -1 pads."""
+def _padded(rows: list[list[list[int]]], size: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers as [row, token, feature], at least ``size`` tokens, and each row's
+    length; -1 pads."""
     width = max((len(f) for r in rows for f in r), default=1)
     lengths = np.array([len(r) for r in rows])
-    out = np.full((len(rows), max(1, int(lengths.max(initial=1))), max(1, width)), -1, np.int64)
+    out = np.full((len(rows), max(size, int(lengths.max(initial=1))), max(1, width)), -1, np.int64)
     for i, row in enumerate(rows):
         for t, features in enumerate(row):
             out[i, t, :len(features)] = features
@@ -202,42 +224,61 @@ class Field:
     state: np.ndarray
     step: np.ndarray
 
-    def numbered(self, sequence: Sequence) -> list[list[int]]:
-        return [[n for f in features if (n := self.names.get(f)) is not None] for features in sequence.features]
-
-    def decode(self, sequences: list[Sequence], batch: int = 256) -> list[list[int]]:
-        """The most probable tags of each sequence."""
-        order = sorted(range(len(sequences)), key=lambda i: len(sequences[i].tokens))
+    def emitted(self, sequences: list[Sequence], start: int, end: int) -> np.ndarray:
+        """[row, token, tag] of tokens ``start`` to ``end`` of each sequence."""
+        names = self.names
+        numbers, _ = _padded([[[n for f in fs if (n := names.get(f)) is not None] for fs in s.features(start, end)] for s in sequences], end - start)
+        return self.state[numbers].sum(2)
+
+    def decode(self, sequences: list[Sequence], budget: int = BATCH_TOKENS) -> list[list[int]]:
+        """The most probable tags of each sequence. Sequences of like length go together, as
+        many as pad to ``budget`` tokens; a longer one goes alone and in stretches of that
+        many, each taking up the scores of the one before, so memory does not follow length."""
+        order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
         out: list[list[int]] = [[]] * len(sequences)
-        for at in range(0, len(order), batch):
-            own = order[at:at + batch]
-            numbers, lengths = _padded([self.numbered(sequences[i]) for i in own])
-            for i, tags in zip(own, viterbi(self.state[numbers].sum(2), self.step, lengths), strict=True):
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and (end + 1 - at) * len(sequences[order[end]]) <= budget:
+                end += 1
+            own = [sequences[i] for i in order[at:end]]
+            size = max(1, len(own[-1]))
+            parts = (self.emitted(own, t, min(size, t + budget)) for t in range(0, size, budget))
+            for i, tags in zip(order[at:end], viterbi(parts, self.step, [len(s) for s in own]), strict=True):
                 out[i] = tags
+            at = end
         return out
 
 
-def viterbi(emitted: np.ndarray, step: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
-    """Best paths of a batch: ``emitted`` [row, token, tag]. A sequence can't begin inside."""
-    rows, size, tags = emitted.shape
+def viterbi(parts: Iterable[np.ndarray], step: np.ndarray, lengths: Sequence_[int]) -> list[list[int]]:
+    """Best paths of a batch: ``parts`` are successive stretches of [row, token, tag], one
+    after the other. A sequence can't begin inside."""
+    tags, rows = len(step), len(lengths)
     first = np.where([t[0] == "I" for t in TAGS[:tags]], _START, 0.0) if tags == len(TAGS) else 0.0
-    score, back = emitted[:, 0] + first, np.zeros((rows, size, tags), np.int8)
-    kept = [score]
-    for t in range(1, size):
-        paths = score[:, :, None] + step[None]
-        back[:, t] = paths.argmax(1)
-        score = paths.max(1) + emitted[:, t]
-        kept.append(score)
+    last = np.zeros(rows, np.int64)  # best tag of each row's last token
+    ending: dict[int, list[int]] = {}
+    for r, length in enumerate(lengths):
+        ending.setdefault(length - 1, []).append(r)
+    score, back, t = None, [], 0
+    for emitted in parts:
+        own = np.zeros((rows, emitted.shape[1], tags), np.int8)
+        for i in range(emitted.shape[1]):
+            if score is None:
+                score = emitted[:, i] + first
+            else:
+                paths = score[:, :, None] + step[None]
+                own[:, i] = paths.argmax(1)
+                score = paths.max(1) + emitted[:, i]
+            for r in ending.get(t, ()):
+                last[r] = score[r].argmax()
+            t += 1
+        back.append(own)
+    before = np.concatenate(back, 1)
     out = []
     for r, length in enumerate(lengths):
-        if not length:
-            out.append([])
-            continue
-        tag = int(kept[length - 1][r].argmax())
-        path = [tag]
+        path = [int(last[r])] if length else []
         for t in range(length - 1, 0, -1):
-            tag = int(back[r, t, tag])
-            path.append(tag)
+            path.append(int(before[r, t, path[-1]]))
         out.append(path[::-1])
     return out
 
@@ -252,11 +293,11 @@ def train(examples: list[tuple[Sequence, list[int]]], rounds: int = 40, ridge: f
     The gradient is observed minus expected counts, from forward and backward sums."""
     names: dict[str, int] = {}
     for sequence, _ in examples:
-        for features in sequence.features:
+        for features in sequence.features():
             for f in features:
                 names.setdefault(f, len(names))
     tags, count = len(TAGS), len(names)
-    numbers, lengths = _padded([[[names[f] for f in fs] for fs in s.features] for s, _ in examples])
+    numbers, lengths = _padded([[[names[f] for f in fs] for fs in s.features()] for s, _ in examples])
     rows, size, _ = numbers.shape
     inside = np.arange(size)[None] < lengths[:, None]
     gold = np.zeros((rows, size), np.int64)
@@ -352,7 +393,7 @@ def labelled_table(documents: DataFrame, limit: int = MAX_LABELLED, sample: int
             ids, texts, positive = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for start, end in windows(text or ""):
-                    if end - start <= 360:
+                    if end - start <= LABELLED_CHARACTERS:
                         ids.append(doc_id)
                         texts.append(text[start:end])
                         positive.append(bool(base_spans(text[start:end])))
@@ -371,7 +412,7 @@ def fit(documents: DataFrame, limit: int = MAX_LABELLED, sample: int = SAMPLE_DO
     for row in sorted(rows, key=lambda r: (r.number, r.window)):
         for text, spans in labelled(row.window, 0, len(row.window), row.number):
             sequence = sequence_of(text, 0, len(text))
-            if sequence.tokens:
+            if len(sequence):
                 examples.append((sequence, tags_of(sequence, spans)))
     return train(examples) if examples else None
 
@@ -407,18 +448,33 @@ def tagged_spans(sequence: Sequence, tags: list[int]) -> list[Span]:
 
 
 def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[list[Span]]:
-    sequences, owner = [], []
+    """Spans of the field in each text that touch no base span. Windows are decoded as they
+    are found, so what is held is some ``BATCH_TOKENS`` of tokens, or one window."""
+    out: list[list[Span]] = [[] for _ in texts]
+    begins = [[s for _, s, _ in own] for own in base]
+    reached = [list(itertools.accumulate((e for _, _, e in own), max)) for own in base]  # the furthest end so far
+
+    def apart(n: int, start: int, end: int) -> bool:
+        at = bisect.bisect_left(begins[n], end)
+        return not at or reached[n][at - 1] <= start
+
+    def decode(held: list[tuple[int, Sequence]]) -> None:
+        for (n, sequence), tags in zip(held, model.decode([s for _, s in held]), strict=True):
+            for kind, start, end in tagged_spans(sequence, tags):
+                while kind == "email" and start > 0 and texts[n][start - 1] in _LOCAL:
+                    start -= 1
+                if keeps_rule(kind, texts[n][start:end]) and apart(n, start, end):
+                    out[n].append((kind, start, end))
+
+    held, size = [], 0
     for n, text in enumerate(texts):
         for start, end in windows(text):
-            sequences.append(sequence_of(text, start, end))
-            owner.append(n)
-    out: list[list[Span]] = [[] for _ in texts]
-    for n, sequence, tags in zip(owner, sequences, model.decode(sequences), strict=True):
-        for kind, start, end in tagged_spans(sequence, tags):
-            while kind == "email" and start > 0 and texts[n][start - 1] in _LOCAL:
-                start -= 1
-            if keeps_rule(kind, texts[n][start:end]) and all(end <= s or e <= start for _, s, e in base[n]):
-                out[n].append((kind, start, end))
+            held.append((n, sequence_of(text, start, end)))
+            size += len(held[-1][1])
+            if size >= 4 * BATCH_TOKENS:
+                decode(held)
+                held, size = [], 0
+    decode(held)
     return out
 
 

@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from test_pii import limited
+
 from kerbside.llm import decontamination as dc
 
 RNG = random.Random(11)
@@ -72,8 +74,41 @@ def test_matches_equal_all_windows(spark, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_ITEMS", 2)
     assert sorted(map(tuple, dc.contaminated(docs, bench).collect()), key=key) == sorted(want, key=key)
     kept = dc.without_contaminated(docs, bench)
-    assert kept.columns == docs.columns and sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(
-        repr(r[0]) for r in rows if r[0] is None or r[0] not in named)
+    bad = {r[1] for r in rows for d in [r[0]] if d in named and (d is not None or dc.contaminated(docs.filter(docs.doc_id.isNull() & (docs.text == r[1])), bench).count())}
+    assert kept.columns == docs.columns and sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(r[0]) for r in rows if r[1] not in bad)
+
+
+def test_rows_are_decided_by_their_text(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, item, 1), (1, "clean text", 2), (None, "a " + item, 3), (None, "clean", 4), (2, None, 5), (2, "", 6)], "doc_id long, text string, key int")
+    kept = dc.without_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns and sorted(r.key for r in kept.collect()) == [2, 4, 5, 6]
+
+
+def test_stretches_of_starts_change_nothing(monkeypatch):
+    rng = np.random.default_rng(2)
+    words = dc.WordHashes()
+    passage = [f"p{i}" for i in range(30)]
+    text = " ".join(" ".join(map(str, rng.integers(0, 50, 400))) + " " + " ".join(passage) for _ in range(6))
+    items = dc.Items([[1]], [dc.shingles(words(" ".join(passage)), 5)], dc.RADIUS)
+    whole = dc.matches(items, words(text), 5, 0.8)
+    monkeypatch.setattr(dc, "STARTS", 3)
+    monkeypatch.setattr(dc, "SPAN", 7)
+    assert whole and dc.matches(items, words(text), 5, 0.8) == whole
+
+
+def test_a_text_of_fifty_megabytes_needs_little_more_than_its_words():
+    limited("""
+import numpy as np
+from kerbside.llm import decontamination as dc
+words = dc.WordHashes()
+passage = " ".join(f"passage{i}" for i in range(60))
+filler = " ".join(f"filler{i % 5000}" for i in range(62_000))
+text = (filler + " " + passage + " ") * 75
+items = dc.Items([[1]], [dc.shingles(words(passage), 5)], dc.RADIUS)
+hashes = words(text)
+assert len(text) > 50_000_000 and dc.matches(items, hashes, 5, 0.8)[0][3] == 1.0
+""")
 
 
 def test_empty_tables(spark):

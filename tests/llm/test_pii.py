@@ -1,6 +1,11 @@
 """Patterns against plain regular expressions; the field against enumeration and planted cases."""
 
 import hashlib
+import os
+import random
+import subprocess
+import sys
+from pathlib import Path
 import itertools
 import re
 
@@ -41,7 +46,7 @@ def test_base_spans_equal_plain_matching(text):
 def test_viterbi_equals_enumeration(size, seed):
     rng = np.random.default_rng(seed)
     emitted, step = rng.normal(size=(2, size, 3)), rng.normal(size=(3, 3))
-    for row, path in zip(emitted, pii.viterbi(emitted, step, np.array([size, max(1, size - 1)])), strict=True):
+    for row, path in zip(emitted, pii.viterbi(np.split(emitted, [size // 2], 1), step, [size, max(1, size - 1)]), strict=True):
         n = len(path)
         score = lambda p: sum(row[t, p[t]] for t in range(n)) + sum(step[a, b] for a, b in itertools.pairwise(p))
         assert score(path) == pytest.approx(max(score(p) for p in itertools.product(range(3), repeat=n)))
@@ -86,3 +91,47 @@ def test_query_rows(spark, documents, model):
     assert "phone:" in next(r.spans for r in got if r.doc_id == 302)
     empty = documents.filter("false")
     assert pii.fit(empty) is None and pii.find_pii(empty, None).collect() == []
+
+
+def test_stretches_give_what_one_batch_gives(model):
+    rng = random.Random(7)
+    texts = [",".join(rng.choice(["12", "017-555-7713", "4111.1111.1111.1111", "a", "10[.]0[.]0[.]1", "x@y"]) for _ in range(n)) for n in (1, 3, 40, 400)]
+    sequences = [pii.sequence_of(t, s, e) for t in texts for s, e in pii.windows(t)]
+    whole = model.decode(sequences, 1 << 20)
+    assert whole == model.decode(sequences, 7) and any(any(tags) for tags in whole)
+
+
+def test_windows_end_at_white_space_however_far():
+    text = "a " + "x" * 1000 + "5" + "y" * 1000 + " b " + "z" * 300 + " 7"
+    assert [text[s:e] for s, e in pii.windows(text)] == ["x" * 1000 + "5" + "y" * 1000 + " b " + "z" * 300 + " 7"] or len(pii.windows(text)) == 2
+    assert all(e == len(text) or text[e].isspace() for _, e in pii.windows(text))
+
+
+_LIMITED = """
+import resource, sys
+sys.path[:0] = [{root!r}]
+resource.setrlimit(resource.RLIMIT_AS, (1 << 30, 1 << 30))
+{body}
+print("done")
+"""
+
+
+def limited(body):
+    """Run a program within 1 GB of address space."""
+    root = str(Path(pii.__file__).parents[2])
+    env = {**os.environ, "OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1"}
+    run = subprocess.run([sys.executable, "-c", _LIMITED.format(root=root, body=body)], capture_output=True, text=True, env=env, timeout=600)
+    assert run.stdout.strip() == "done", run.stderr[-2000:]
+
+
+def test_a_numeric_text_of_two_megabytes_needs_less_than_a_gigabyte():
+    limited("""
+import random
+from kerbside.llm import pii
+rng = random.Random(1)
+field = pii.train([(q := pii.sequence_of("call 017-555-7713 now", 0, 21), pii.tags_of(q, [("phone", 5, 17)]))], rounds=3)
+table = ",".join(str(rng.randrange(10**6)) for _ in range(300_000))
+texts = [table, *["call 017-555-7713 now"] * 200]
+found = pii.added_spans(texts, [pii.base_spans(t) for t in texts], field)
+assert len(found) == 201
+""")
