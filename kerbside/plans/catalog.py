@@ -22,7 +22,7 @@ from kerbside.sources import buckets, sample
 from kerbside.sources.messages import read_message_table, read_messages, write_csv
 from kerbside.sources.sample import AS_OF
 from kerbside.sources.workspace import new_folder, stored
-from kerbside.streaming import streams
+from kerbside.streaming import keyed_state, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 PER_RUN, PAGE, SINCE_YEAR = 300, 700, 2024
@@ -688,6 +688,14 @@ def stream_repost_dedup(t: Tables) -> DataFrame:
     return _drain(streams.stream_repost_dedup(streams.read_stream(t.spark, folder, keyed.schema)), results)
 
 
+@query
+def stream_repost_changes(t: Tables) -> DataFrame:
+    """Keyed state: every post is decided in its own micro-batch; what stands at the end."""
+    keyed = t.keyed.select(*streams.POST_KEYS, "message_date_gmt8", "channel", "message_id")
+    changes = _drain(keyed_state.stream_repost_changes(_as_stream(keyed, keyed.schema), delay="40 days"), new_folder(t.spark, "stream-changes"))
+    return keyed_state.standing_posts(changes)
+
+
 @query
 def stream_rolling_counts(t: Tables) -> DataFrame:
     folder = new_folder(t.spark, "stream-rolling")
