@@ -18,7 +18,7 @@ from kerbside.operators import geocode, gold, ingest, quality, serving, silver,
 from kerbside.operators.joins import union_all
 from kerbside.schemas import (DRIVER, GOLD_SCHEMA, HITCHER, MESSAGE_COLUMNS, MESSAGE_KEYS, PAX_COUNTS,
                               RESOLUTION_STATUSES, SILVER_KEYS)
-from kerbside.sources import buckets, sample
+from kerbside.sources import buckets, feed, sample
 from kerbside.sources.messages import read_message_table, read_messages, write_csv
 from kerbside.sources.sample import AS_OF
 from kerbside.sources.workspace import new_folder, stored
@@ -186,6 +186,14 @@ def incremental_fetch(t: Tables) -> DataFrame:
     return ingest.incremental_fetch(t.messages, t.sources, t.state, PER_RUN, PAGE, SINCE_YEAR)
 
 
+@query
+def incremental_fetch_pruned(t: Tables) -> DataFrame:
+    """The same page from a feed laid out by channel and ids: only folders that hold it are opened."""
+    path = new_folder(t.spark, "feed")
+    feed.write_feed(t.messages, path, id_block=1000)
+    return ingest.incremental_fetch(feed.pending_feed(t.spark, path, t.plan), t.sources, t.state, PER_RUN, PAGE, SINCE_YEAR)
+
+
 @query
 def checkpoint_advance(t: Tables) -> DataFrame:
     return ingest.checkpoint_advance(t.plan, t.page)

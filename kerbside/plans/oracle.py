@@ -533,6 +533,7 @@ def statement(sql: str) -> str:
     return f"WITH RECURSIVE {', '.join(ordered.values())} {main}" if ordered else main
 
 
+ORACLE["incremental_fetch_pruned"] = ORACLE["incremental_fetch"]
 ORACLE["stream_repost_changes"] = ORACLE["stream_repost_dedup"]
 # The same merges into bucketed tables.
 ORACLE |= {f"{name}_bucketed": ORACLE[name] for name in ("bronze_upsert", "silver_merge", "gold_merge")}
