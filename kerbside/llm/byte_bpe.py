@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -238,32 +238,33 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def _flushed(rows: Iterable[tuple[pa.Scalar, bytes]], kind: pa.DataType, names: list[str]) -> Iterator[pa.RecordBatch]:
-    keys, values, size = [], [], 0
+def _flushed(rows: Iterable[tuple], kinds: list[pa.DataType], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows of a key and binary values, of some ``OUTPUT_BYTES``."""
+    held, size = [], 0
 
     def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(values, pa.binary())], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
 
-    for key, value in rows:
-        keys.append(key)
-        values.append(value)
-        size += len(value)
-        if size >= OUTPUT_BYTES or len(keys) >= 10_000:
+    for row in rows:
+        held.append(row)
+        size += sum(map(len, row[1:]))
+        if size >= OUTPUT_BYTES or len(held) >= 10_000:
             yield batch()
-            keys, values, size = [], [], 0
-    if keys:
+            held, size = [], 0
+    if held:
         yield batch()
 
 
-def _mapped(table: DataFrame, key: str, value: str, kind: str, out: str, function) -> DataFrame:
+def _mapped(table: DataFrame, key: str, value: str, kind: str, out: list[str], function: Callable[[object], tuple]) -> DataFrame:
+    """``function`` of each row's value, which gives the binary columns ``out``."""
     pairs = table.select(F.col(key).alias("doc_id"), F.col(value).cast(kind).alias("value"))
-    schema = StructType([StructField("doc_id", pairs.schema["doc_id"].dataType), StructField(out, BinaryType())])
+    schema = StructType([StructField("doc_id", pairs.schema["doc_id"].dataType), *(StructField(name, BinaryType()) for name in out)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, values = batch.columns
-            rows = ((i.as_py(), function(v.as_py())) for i, v in zip(ids, values, strict=True))
-            yield from _flushed(rows, ids.type, ["doc_id", out])
+            rows = ((i.as_py(), *function(v.as_py())) for i, v in zip(ids, values, strict=True))
+            yield from _flushed(rows, [ids.type] + [pa.binary()] * len(out), ["doc_id", *out])
 
     return pairs.mapInArrow(run, schema)
 
@@ -272,10 +273,21 @@ def encoded(documents: DataFrame, ranks_path: str, pattern: str, text: str = "te
     """(doc_id, ids) of every row, in its own partition; ``ids`` are little-endian unsigned
     32-bit integers as binary. The rank file must be at the same path on every machine.
     Strings of special tokens are ordinary text."""
-    return _mapped(documents, doc_id, text, "string", "ids", lambda value: codec(ranks_path, pattern).encode(value or ""))
+    return _mapped(documents, doc_id, text, "string", ["ids"], lambda value: (codec(ranks_path, pattern).encode(value or ""),))
 
 
 def decoded(table: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, data): the bytes of every row's ``ids``. An id outside the vocabulary, or
     binary that is no whole number of ids, is a ValueError."""
-    return _mapped(table, doc_id, ids, "binary", "data", lambda value: codec(ranks_path, pattern).decode(value or b""))
+    return _mapped(table, doc_id, ids, "binary", ["data"], lambda value: (codec(ranks_path, pattern).decode(value or b""),))
+
+
+def round_trip(documents: DataFrame, ranks_path: str, pattern: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, ids, data): ``encoded`` and ``decoded`` one after the other on each row, in
+    one Python process and not in two that each hold the vocabulary."""
+    def both(value: str | None) -> tuple[bytes, bytes]:
+        own = codec(ranks_path, pattern)
+        ids = own.encode(value or "")
+        return ids, own.decode(ids)
+
+    return _mapped(documents, doc_id, text, "string", ["ids", "data"], both)

@@ -94,10 +94,9 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the ranks, decoded again."""
-    ids = byte_bpe.encoded(_table(spark, sf_dir, "documents"), *RANKS)
-    back = byte_bpe.decoded(ids.withColumn("doc_id", F.struct("doc_id", "ids")), *RANKS)
-    return back.select("doc_id.doc_id", (F.octet_length("doc_id.ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("doc_id.ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+    found = byte_bpe.round_trip(_table(spark, sf_dir, "documents"), *RANKS)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_katz, op3_chat, op4_language_id, op5_exact_dedup, op6_packing, op7_licenses, op8_fuzzy_lines, op9_simhash_golay, op10_decontamination, op11_whitening, op12_merkle, op13_byte_bpe)}
