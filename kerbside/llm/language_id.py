@@ -14,7 +14,10 @@ byte no language has seen after its context escapes to the next lower table. The
 bounded by the sample and are broadcast; their size does not grow with the documents.
 
 A null text, and a text without a letter, is ``und``. Without any labelled text every
-document is ``und``. Rows are independent: nothing is shuffled, repeats get equal results.
+document is ``und``. Languages that tie in code length go by name. Whole texts are scored,
+a piece at a time. Learning is bound by a number of texts per language, not by their bytes.
+Rows are independent: nothing is shuffled, repeats get equal results; an empty table gives no
+rows. Columns of other names stay out of it or, in ``with_language``, stay as they are.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ORDER = 3  # bytes of context
 SAMPLE_PER_LANGUAGE = 1200  # labelled texts per language, about
@@ -241,9 +245,9 @@ def _lower_bits(model: Model, gram: np.ndarray, order: int) -> np.ndarray:
     return bits
 
 
-def _predict_batches(batches: Iterable[pa.RecordBatch], model: Model, extra: list[str]) -> Iterator[pa.RecordBatch]:
+def _predict_batches(batches: Iterable[pa.RecordBatch], model: Model, text: str, extra: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
+        texts = [t or "" for t in batch.column(text).cast(pa.string()).to_pylist()]
         languages, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         usable = [i for i, t in enumerate(texts) if model.languages and _LETTER.search(t)]
         if usable:
@@ -253,8 +257,7 @@ def _predict_batches(batches: Iterable[pa.RecordBatch], model: Model, extra: lis
             for i, b, s in zip(usable, best, share, strict=True):
                 languages[i], scores[i] = model.languages[b], float(s)
         kept = [batch.column(c) for c in extra]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                                         names=[*extra, "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=[*extra, *names])
 
 
 def predict(documents: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -263,22 +266,21 @@ def predict(documents: DataFrame, model: Model, text: str = "text", doc_id: str
     pairs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
     kind = dict(pairs.dtypes)["doc_id"]
-    return pairs.mapInArrow(lambda batches: _predict_batches(batches, shared.value, ["doc_id"]),
+    return pairs.mapInArrow(lambda batches: _predict_batches(batches, shared.value, "text", ["doc_id"]),
                             f"doc_id {kind}, lang_pred string, score double")
 
 
-def with_language(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``documents`` with lang_pred and score; all columns stay."""
+def with_language(documents: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``documents``, all columns as they are, and two more for language and score: ``names``,
+    each followed by underscores where a column has that name already."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in documents.columns if c not in ("lang_pred", "score")]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            renamed = batch.append_column("text", batch.column(text)) if text != "text" else batch
-            yield from _predict_batches([renamed], shared.value, columns)
-
-    schema = documents.select(*columns).schema.add("lang_pred", "string").add("score", "double")
-    return documents.select(*columns).mapInArrow(run, schema)
+    columns, free = documents.columns, []
+    for name in names:
+        while name.lower() in {c.lower() for c in [*columns, *free]}:
+            name += "_"
+        free.append(name)
+    schema = T.StructType([*documents.schema.fields, T.StructField(free[0], T.StringType()), T.StructField(free[1], T.DoubleType())])
+    return documents.mapInArrow(lambda batches: _predict_batches(batches, shared.value, text, columns, (free[0], free[1])), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -57,7 +57,12 @@ def test_rows(spark, model):
     got = sorted(map(tuple, li.predict(docs, model).select("doc_id", "lang_pred").collect()), key=repr)
     assert got == sorted([(1, "und"), (2, "und"), (3, "und"), (4, "en"), (4, "en"), (None, "de"), (5, "de")], key=repr)
     assert all(0 <= r.score <= 1 for r in li.predict(docs, model).collect())
-    assert li.with_language(docs, model).columns == ["doc_id", "text", "lang_pred", "score"]
+    found = li.with_language(docs, model)
+    assert found.columns == ["doc_id", "text", "score", "lang_pred", "score_"] and {r.score for r in found.collect()} == {5}
+    moved = docs.selectExpr("text AS body", "score AS text", "doc_id AS Lang_Pred")
+    found = li.with_language(moved, model, "body")
+    assert found.columns == ["body", "text", "Lang_Pred", "lang_pred_", "score"]
+    assert sorted(r.lang_pred_ for r in found.collect()) == sorted(lang for _, lang in got)
     nothing = li.fit(docs.withColumn("lang", docs.text).filter("false"))
     assert {r.lang_pred for r in li.predict(docs, nothing).collect()} == {"und"}
     assert li.predict(docs.filter("false"), model).collect() == []
