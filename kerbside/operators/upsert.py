@@ -78,6 +78,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
             .select(*[merged(c) for c in target.columns]))
 
 
+def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str], coalesce_cols: Sequence[str] = ()) -> DataFrame:
+    """One row: how many rows of ``source`` an ``upsert`` inserts, updates, and finds as they
+    are (``inserted``, ``updated``, ``unchanged``). A null in a key matches nothing, so such a
+    row is inserted. Only the target's keys, the columns to be coalesced and one digest of the
+    others move; a table bucketed by its keys is not exchanged. A source without rows counts
+    zeros."""
+    keys = list(keys)
+    source = require_schema(source, target.columns)
+    others = [c for c in target.columns if c not in {*keys, *coalesce_cols}]
+    digest = F.sha2(F.to_json(F.struct(*others), {"ignoreNullFields": "false"}), 256) if others else F.lit("")
+    own = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in coalesce_cols], digest.alias("_new"))
+    old = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in coalesce_cols], digest.alias("_old"), F.lit(True).alias("_hit"))
+    same = F.col("_new") == F.col("_old")
+    for c in coalesce_cols:  # a null in the source keeps what is there
+        same = same & (F.col(f"_s_{c}").isNull() | F.col(f"_s_{c}").eqNullSafe(F.col(f"_t_{c}")))
+    found = own.join(old, keys, "left")
+    return found.agg(F.count_if(F.col("_hit").isNull()).alias("inserted"), F.count_if(F.col("_hit") & ~same).alias("updated"),
+                     F.count_if(F.col("_hit") & same).alias("unchanged"))
+
+
 def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                    protect: Column | None = None) -> DataFrame:
     """Delete target rows whose key is in ``batch`` (but for protected rows), add the batch.

@@ -222,6 +222,12 @@ def bronze_upsert_bucketed(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query
+def merge_counts(t: Tables) -> DataFrame:
+    """What the merge of edits, and of all messages once more, does to the stored rows."""
+    return upsert.merge_counts(t.messages, union_all(t.messages, t.upsert_batch), MESSAGE_KEYS, ["topic_id"])
+
+
 @query
 def schema_guard(t: Tables) -> DataFrame:
     legacy = t.messages.drop("sender_handle", "scraped_at_gmt8").withColumnRenamed("message_date_gmt8", LEGACY_COLUMN)

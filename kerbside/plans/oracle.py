@@ -533,6 +533,11 @@ def statement(sql: str) -> str:
     return f"WITH RECURSIVE {', '.join(ordered.values())} {main}" if ordered else main
 
 
+_SAME = " AND ".join(["(s.topic_id IS NULL OR s.topic_id IS NOT DISTINCT FROM m.topic_id)", *(f"s.{c} IS NOT DISTINCT FROM m.{c}" for c in MESSAGE_COLUMNS[2:])])
+ORACLE["merge_counts"] = f"""SELECT count(*) FILTER (m.id IS NULL) AS inserted, count(*) FILTER (m.id IS NOT NULL AND NOT ({_SAME})) AS updated,
+    count(*) FILTER (m.id IS NOT NULL AND {_SAME}) AS unchanged
+  FROM (SELECT {_list(MESSAGE_COLUMNS)} FROM {{messages}} UNION ALL SELECT {_list(MESSAGE_COLUMNS)} FROM {{upsert_batch}}) s
+  LEFT JOIN {{messages}} m ON m.channel = s.channel AND m.id = s.id"""
 ORACLE["incremental_fetch_pruned"] = ORACLE["incremental_fetch"]
 ORACLE["stream_repost_changes"] = ORACLE["stream_repost_dedup"]
 # The same merges into bucketed tables.

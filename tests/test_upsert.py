@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from kerbside.operators.upsert import SchemaMismatch, replace_by_key, require_schema, schema_guard, upsert
+from kerbside.operators.upsert import SchemaMismatch, merge_counts, replace_by_key, require_schema, schema_guard, upsert
 
 SCHEMA = "channel string, id long, topic_id long, message string"
 
@@ -48,6 +48,15 @@ def test_replace_spares_protected_rows(spark):
     assert rows(replace_by_key(target, batch, ["place"])) == sorted([("p", "rule"), ("p", "rule"), ("q", "rule")], key=repr)
 
 
+def test_a_merge_is_counted(spark, target):
+    source = spark.createDataFrame([("a", 1, None, "old"), ("a", 2, 3, "keep"), ("b", 1, 9, "old"), ("b", 1, None, None), ("c", 1, None, "x"), (None, 1, None, "x")], SCHEMA)
+    assert rows(merge_counts(target, source, ["channel", "id"], ["topic_id"])) == [(2, 2, 2)]  # a topic filled in is an update
+    assert rows(merge_counts(target, source, ["channel", "id"])) == [(2, 3, 1)]
+    assert rows(merge_counts(target, source.limit(0), ["channel", "id"])) == [(0, 0, 0)]
+    merged = upsert(target, source.where("message IS NOT NULL"), ["channel", "id"], ["topic_id"])
+    assert rows(merge_counts(merged, source.where("message IS NOT NULL AND channel IS NOT NULL"), ["channel", "id"], ["topic_id"])) == [(0, 0, 4)]
+
+
 def test_schema_guard(spark):
     legacy = spark.createDataFrame([(1, "x", "m")], "id long, date string, message string")
     expected = ["channel", "id", "message"]
