@@ -16,7 +16,7 @@ from kerbside.schemas import DRIVER, FEED_COLUMNS, HITCHER, REQUEST_TYPES
 
 AsOf = str | datetime
 WITHIN, CROSS_BORDER = "within-sg", "sg-jb"
-DEFAULT_MINUTES = 360
+DEFAULT_MINUTES, MOST_MINUTES, FEED_ROWS = 360, 720, 5_000
 WINDOWS = (1, 2, 3, 6)
 CHART_BARS = 50
 
@@ -65,13 +65,20 @@ def _feed_rows(as_of: AsOf, minutes: int, tab: str) -> Column:
 
 
 def recent_requests(gold: DataFrame, as_of: AsOf, minutes: int = DEFAULT_MINUTES, tab: str = WITHIN,
-                    limit: int | None = None) -> DataFrame:
+                    limit: int | None = None, ordered: bool = False) -> DataFrame:
     """Located hitcher requests of a route. With ``limit``, the newest ones in order; the id
-    makes the order total. Without it every row, in no order."""
+    makes the order total. Without it every row, newest first only if ``ordered``."""
     rows = gold.where(_feed_rows(as_of, minutes, tab)).select(*FEED_COLUMNS)
-    if limit is None:
+    if limit is None and not ordered:
         return rows
-    return rows.orderBy(F.desc("message_date_gmt8"), "gold_request_id").limit(limit)
+    newest_first = rows.orderBy(F.desc("message_date_gmt8"), "gold_request_id")
+    return newest_first if limit is None else newest_first.limit(limit)
+
+
+def feed_page(gold: DataFrame, as_of: AsOf, minutes: int = DEFAULT_MINUTES, tab: str = WITHIN) -> DataFrame:
+    """The feed as it is served: minutes brought into 1 to ``MOST_MINUTES``, newest first,
+    at most ``FEED_ROWS`` rows."""
+    return recent_requests(gold, as_of, max(1, min(minutes, MOST_MINUTES)), tab, FEED_ROWS)
 
 
 def unique_request_count(gold: DataFrame, as_of: AsOf, minutes: int, request_type: str) -> DataFrame:
@@ -114,6 +121,25 @@ def _one_row(spark: SparkSession) -> DataFrame:
     return spark.range(1).select()
 
 
+def check_steps(windows: Sequence[int], step_min: int, span_hours: int) -> None:
+    if any(w * 60 % step_min for w in windows) or span_hours * 60 % step_min:
+        raise ValueError("windows and span must be whole numbers of steps")
+
+
+def filled_rolling(counts: DataFrame, as_of: AsOf, windows: Sequence[int], step_min: int, span_hours: int) -> DataFrame:
+    """Counts by (request_type, window_hours, step) as rolling counts, zeros filled in."""
+    origin = F.date_trunc("minute", ntz(as_of)).cast("timestamp_ntz") - clock.hours(span_hours)
+    spine = (
+        _one_row(counts.sparkSession).select(F.explode(_strings(REQUEST_TYPES)).alias("request_type"))
+        .select("request_type", F.explode(F.array(*[F.lit(w) for w in windows])).alias("window_hours"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(span_hours * 60 // step_min))).alias("step"))
+    )
+    return spine.join(counts, ["request_type", "window_hours", "step"], "left").select(
+        "request_type", "window_hours",
+        (origin + F.make_dt_interval(mins=F.col("step") * F.lit(step_min))).alias("bucket_start"),
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("total_count"))
+
+
 def rolling_counts(gold: DataFrame, as_of: AsOf, windows: Sequence[int] = WINDOWS, step_min: int = 15,
                    span_hours: int = 300) -> DataFrame:
     """Distinct requests in (b - w, b] for every type, window w and step b over the span,
@@ -125,8 +151,7 @@ def rolling_counts(gold: DataFrame, as_of: AsOf, windows: Sequence[int] = WINDOW
     rows shrink to (type, step, steps until the next occurrence) counts, a table whose
     size depends on span and windows alone, and only that is spread over the windows.
     """
-    if any(w * 60 % step_min for w in windows) or span_hours * 60 % step_min:
-        raise ValueError("windows and span must be whole numbers of steps")
+    check_steps(windows, step_min, span_hours)
     step = step_min * clock.MICROS_PER_MINUTE
     reach = max(windows) * 60 // step_min
     last = span_hours * 60 // step_min
@@ -157,15 +182,7 @@ def rolling_counts(gold: DataFrame, as_of: AsOf, windows: Sequence[int] = WINDOW
         .where(F.col("step").between(0, last))
         .groupBy("request_type", "window_hours", "step").agg(F.sum("n").alias("n"))
     )
-    spine = (
-        _one_row(gold.sparkSession).select(F.explode(_strings(REQUEST_TYPES)).alias("request_type"))
-        .select("request_type", window_hours)
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("step"))
-    )
-    return spine.join(counts, ["request_type", "window_hours", "step"], "left").select(
-        "request_type", "window_hours",
-        (origin + F.make_dt_interval(mins=F.col("step") * F.lit(step_min))).alias("bucket_start"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("total_count"))
+    return filled_rolling(counts, as_of, windows, step_min, span_hours)
 
 
 def live_counts(gold: DataFrame, as_of: AsOf, minutes: int = 15) -> DataFrame:
@@ -177,6 +194,18 @@ def live_counts(gold: DataFrame, as_of: AsOf, minutes: int = 15) -> DataFrame:
         "request_type", F.coalesce("n", F.lit(0).cast("bigint")).alias("total_count"))
 
 
+def filled_daily(counts: DataFrame, as_of: AsOf, days: int) -> DataFrame:
+    """Counts by (request_type, day) as daily counts, zeros filled in."""
+    today = ntz(as_of).cast("date")
+    spine = (
+        _one_row(counts.sparkSession).select(F.explode(_strings(REQUEST_TYPES)).alias("request_type"))
+        .select("request_type", F.explode(F.sequence(F.date_sub(today, days - 1), today)).alias("day"))
+    )
+    return spine.join(counts, ["request_type", "day"], "left").select(
+        "request_type", F.col("day").cast("timestamp_ntz").alias("day_start"),
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("total_count"))
+
+
 def daily_counts(gold: DataFrame, as_of: AsOf, days: int = 14) -> DataFrame:
     """Distinct requests per type and day for the last ``days`` days, zeros kept."""
     today = ntz(as_of).cast("date")
@@ -188,17 +217,11 @@ def daily_counts(gold: DataFrame, as_of: AsOf, days: int = 14) -> DataFrame:
         .groupBy("request_type", posted.cast("date").alias("day"))
         .agg(F.count_distinct("gold_request_id").alias("n"))
     )
-    spine = (
-        _one_row(gold.sparkSession).select(F.explode(_strings(REQUEST_TYPES)).alias("request_type"))
-        .select("request_type", F.explode(F.sequence(first, today)).alias("day"))
-    )
-    return spine.join(counts, ["request_type", "day"], "left").select(
-        "request_type", F.col("day").cast("timestamp_ntz").alias("day_start"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("total_count"))
+    return filled_daily(counts, as_of, days)
 
 
-def dashboard_rows(gold: DataFrame, as_of: AsOf) -> DataFrame:
-    """Rolling, live and daily counts in one long table."""
+def dashboard_of(rolling: DataFrame, live: DataFrame, daily: DataFrame) -> DataFrame:
+    """The three counts in one long table."""
     def rows(metric: str, counts: DataFrame, hours: Column, bucket: Column) -> DataFrame:
         return counts.select(
             F.lit(metric).alias("metric"), "request_type", hours.cast("int").alias("window_hours"),
@@ -206,12 +229,17 @@ def dashboard_rows(gold: DataFrame, as_of: AsOf) -> DataFrame:
 
     none = F.lit(None)
     return union_all(
-        rows("rolling", rolling_counts(gold, as_of), F.col("window_hours"), F.col("bucket_start")),
-        rows("live_15m", live_counts(gold, as_of), none, none),
-        rows("daily_total", daily_counts(gold, as_of), none, F.col("day_start")),
+        rows("rolling", rolling, F.col("window_hours"), F.col("bucket_start")),
+        rows("live_15m", live, none, none),
+        rows("daily_total", daily, none, F.col("day_start")),
     ).orderBy("metric", "request_type", "window_hours", "bucket_start_gmt8")
 
 
+def dashboard_rows(gold: DataFrame, as_of: AsOf) -> DataFrame:
+    """Rolling, live and daily counts in one long table."""
+    return dashboard_of(rolling_counts(gold, as_of), live_counts(gold, as_of), daily_counts(gold, as_of))
+
+
 def dashboard_metrics(rows: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Per type and window: mean and last rolling value, live count, both point series.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import clock, text
-from kerbside.operators import geocode, gold, ingest, quality, serving, silver, upsert
+from kerbside.operators import geocode, gold, ingest, partials, quality, serving, silver, upsert
 from kerbside.operators.joins import union_all
 from kerbside.schemas import (DRIVER, GOLD_SCHEMA, HITCHER, MESSAGE_COLUMNS, MESSAGE_KEYS, PAX_COUNTS,
                               RESOLUTION_STATUSES, SILVER_KEYS)
@@ -541,6 +541,11 @@ def recent_requests(t: Tables) -> DataFrame:
     return serving.recent_requests(t.gold_table, AS_OF, 720)
 
 
+@query
+def feed_page(t: Tables) -> DataFrame:
+    return serving.feed_page(t.gold_table, AS_OF, 43_200)
+
+
 @query
 def route_within(t: Tables) -> DataFrame:
     return serving.route_within(t.gold_table)
@@ -571,6 +576,17 @@ def dashboard_rows(t: Tables) -> DataFrame:
     return serving.dashboard_rows(t.gold_table, AS_OF)
 
 
+@query
+def dashboard_partials(t: Tables) -> DataFrame:
+    """Partials of the first copies' Gold, brought up to date for the days that later copies change."""
+    root = new_folder(t.spark, "partials")
+    before = t.stored(gold.gold_requests(t.first_silver_table, t.cache), "gold")
+    partials.write_partials(before, root)
+    changed = union_all(t.gold_table.exceptAll(before), before.exceptAll(t.gold_table))
+    partials.update_partials(t.gold_table, root, partials.changed_days(changed))
+    return partials.dashboard_rows(partials.read_partials(t.spark, root), t.gold_table, AS_OF)
+
+
 @query
 def dashboard_metrics(t: Tables) -> DataFrame:
     def series(points: str, label: str) -> Column:
@@ -633,6 +649,17 @@ def dq_not_null(t: Tables) -> DataFrame:
     return union_all(*parts)
 
 
+@query
+def dq_in_write(t: Tables) -> DataFrame:
+    """Null counts of Silver and Gold out of the jobs that write them."""
+    parts = []
+    for name, df in (("silver", t.silver), ("gold", t.gold)):
+        checks = quality.write_checks(df, quality.NOT_NULL[name], {"request_type": [HITCHER, DRIVER]})
+        t.stored(checks.watched, name)
+        parts += [(name, c, n) for c, n in checks.null_counts()] + [(name, f"{c} outside its list", n) for c, n in checks.odd_rows().items()]
+    return t.spark.createDataFrame(parts, "table_name string, column_name string, null_count bigint")
+
+
 @query
 def dq_unique(t: Tables) -> DataFrame:
     return quality.dq_unique(t.cache, ["normalized_location"])

@@ -7,15 +7,16 @@ again and that gives no Gold row any more leaves a row without values.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import clock, text
-from kerbside.operators import geocode, gold, ingest, silver
+from kerbside.operators import geocode, gold, ingest, partials, silver
 from kerbside.operators.joins import union_all
 from kerbside.schemas import (GEOCODE_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA, MESSAGE_COLUMNS, MESSAGE_KEYS, MESSAGE_SCHEMA,
                               OVERRIDE_SCHEMA, SILVER_COLUMNS, SILVER_KEYS, SILVER_SCHEMA, STATE_SCHEMA)
@@ -49,9 +50,10 @@ def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
     return _newest_requests(runlog.read_log(spark, layout.at("silver"), SILVER_SCHEMA))
 
 
-def read_gold(spark: SparkSession, layout: Layout, since: Column | None = None) -> DataFrame:
-    """Gold as the newest runs left it; with ``since``, posts from that wall clock's day on."""
-    rows = runlog.read_log(spark, layout.at("gold"), GOLD_LOG_SCHEMA, since)
+def read_gold(spark: SparkSession, layout: Layout, since: Column | None = None, days: Sequence[date] | None = None) -> DataFrame:
+    """Gold as the newest runs left it; with ``since``, posts from that wall clock's day on,
+    with ``days``, posts of these."""
+    rows = runlog.read_log(spark, layout.at("gold"), GOLD_LOG_SCHEMA, since, days)
     return _newest_gold(rows).where("gold_request_id IS NOT NULL").select(*GOLD_COLUMNS)
 
 
@@ -109,7 +111,15 @@ def transform_run(spark: SparkSession, layout: Layout, gazetteer: DataFrame, as_
         write_snapshot(geocode.geocode_replace(read_snapshot(spark, layout.at("geocodes"), GEOCODE_SCHEMA), found), layout.at("geocodes"))
     fresh = stored(gold.gold_incremental(requests, read_geocodes(spark, layout, now), as_of, hours), "gold")
     seen = silver.lookback_filter(batch, "scraped_at_gmt8", as_of, hours)
-    runlog.append_run(_gold_rows(fresh, seen, as_of), layout.at("gold"), run_id, "message_date_gmt8")
+    written = runlog.append_run(_gold_rows(fresh, seen, as_of), layout.at("gold"), run_id, "message_date_gmt8")
+    days = partials.changed_days(written)
+    partials.update_partials(read_gold(spark, layout, days=partials.days_around(days)), layout.at("partials"), days)
+
+
+def dashboard(spark: SparkSession, layout: Layout, as_of: str | datetime) -> DataFrame:
+    """Rolling, live and daily counts; of Gold only the days of the last 15 minutes are read."""
+    live = read_gold(spark, layout, clock.ntz(as_of) - clock.minutes(15))
+    return partials.dashboard_rows(partials.read_partials(spark, layout.at("partials")), live, as_of)
 
 
 def full_refresh_run(spark: SparkSession, layout: Layout, as_of: str | datetime, run_id: str, now: Column) -> None:
@@ -118,6 +128,7 @@ def full_refresh_run(spark: SparkSession, layout: Layout, as_of: str | datetime,
     requests, table = full_refresh(read_message_table(spark, layout.at("bronze")), read_geocodes(spark, layout, now))
     runlog.replace_runs(requests, layout.at("silver"), run_id, "scraped_at_gmt8")
     runlog.replace_runs(_gold_rows(stored(table, "gold"), requests, as_of), layout.at("gold"), run_id, "message_date_gmt8")
+    partials.write_partials(read_gold(spark, layout), layout.at("partials"))
 
 
 def overrides_run(spark: SparkSession, layout: Layout, gazetteer: DataFrame, now: Column,

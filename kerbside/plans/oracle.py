@@ -467,12 +467,14 @@ ORACLE = {
       SELECT * FROM {{first_gold}} WHERE silver_request_id NOT IN (SELECT {sid()} FROM {{silver}} WHERE scraped_at_gmt8 >= {_MERGE_FROM})""",
     "gold_late_posts": "SELECT * FROM {gold}",
     "recent_requests": feed(720, WITHIN),
+    "feed_page": feed(720, WITHIN, 5000),
     "route_within": f"SELECT * FROM {{gold}} WHERE {WITHIN}",
     "route_cross_border": f"SELECT * FROM {{gold}} WHERE {CROSS}",
     "rolling_counts": "SELECT * FROM {rolling}",
     "live_counts": "SELECT * FROM {live}",
     "daily_counts": "SELECT * FROM {daily}",
     "dashboard_rows": "SELECT * FROM {dashboard}",
+    "dashboard_partials": "SELECT * FROM {dashboard}",
     "dashboard_metrics": """SELECT r.request_type, r.window_hours, avg(r.metric_value) AS average_rolling_total,
         arg_max(r.metric_value, r.bucket_start_gmt8) AS current_rolling_total,
         (SELECT max(metric_value) FROM {dashboard} l WHERE l.metric = 'live_15m' AND l.request_type = r.request_type) AS live_15m_count,
@@ -499,6 +501,10 @@ ORACLE = {
         *[_nulls(f"{{{table}}}", name, C.quality.NOT_NULL[name]) for name, table in
           (("bronze", "copies"), ("geocodes", "cache"), ("silver", "silver"), ("gold", "gold"))],
         _nulls("{copies}", "optional", ["topic_id", "sender_handle"])]),
+    "dq_in_write": " UNION ALL ".join([
+        *[_nulls(f"{{{table}}}", table, C.quality.NOT_NULL[table]) for table in ("silver", "gold")],
+        *[f"SELECT '{table}', 'request_type outside its list', count(*) FILTER (request_type NOT IN ('hitcher_request', 'driver_request')) FROM {{{table}}}"
+          for table in ("silver", "gold")]]),
     "dq_unique": "SELECT normalized_location, count(*) AS copies FROM {cache} GROUP BY ALL HAVING count(*) > 1",
     "dq_accepted_values": """SELECT 'pax_count' AS column_name, CAST(pax_count + 10 AS VARCHAR) AS value, count(*) AS row_count
         FROM {silver} WHERE message_id % 97 = 0 AND pax_count IS NOT NULL GROUP BY ALL

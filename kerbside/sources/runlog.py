@@ -9,7 +9,7 @@ newest rows of closed runs as one more run; the runs it covers are left out by r
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,9 +41,10 @@ def covered_runs(spark: SparkSession, root: str) -> list[str]:
     return sorted({r.name for n in names for r in spark.read.parquet(f"{root}-covered/{n}").collect()})  # one row per run
 
 
-def read_log(spark: SparkSession, root: str, schema: T.StructType, since: Column | None = None) -> DataFrame:
+def read_log(spark: SparkSession, root: str, schema: T.StructType, since: Column | None = None,
+             days: Sequence[date] | None = None) -> DataFrame:
     """Every stored row with its ``run``; with ``since``, only days from that wall clock's
-    date on are opened."""
+    date on are opened, with ``days`` only these."""
     if not _runs(spark, root):
         return spark.createDataFrame([], T.StructType([*_stored(schema).fields[:-1], T.StructField("run", T.StringType())]))
     rows = spark.read.schema(_stored(schema, T.StructField("run", T.StringType()))).parquet(root)
@@ -52,6 +53,8 @@ def read_log(spark: SparkSession, root: str, schema: T.StructType, since: Column
         rows = rows.where(~F.col("run").isin(covered))
     if since is not None:
         rows = rows.where(F.col("day") >= F.to_date(since))
+    if days is not None:
+        rows = rows.where(F.col("day").isin(list(days)))
     return rows.select(*schema.fieldNames(), "run")
 
 

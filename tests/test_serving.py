@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import explained, ts
+from conftest import explained, rows, ts
 from pyspark.sql import functions as F
 
 from kerbside.operators import quality, serving
@@ -84,6 +84,10 @@ def test_feed_and_summary(spark):
     for minutes, limit in ((0, None), (-5, 3), (60, 0)):
         with pytest.raises(ValueError):
             serving.recent_summary(g, AS_OF, minutes, limit=limit)
+    ordered = [r.message_date_gmt8 for r in serving.recent_requests(g, AS_OF, 43_200, ordered=True).collect()]
+    assert ordered == sorted(ordered, reverse=True) and ordered[:7] == times
+    assert rows(serving.feed_page(g, AS_OF, 43_200)) == rows(serving.recent_requests(g, AS_OF, 720))
+    assert serving.feed_page(g, AS_OF, -3).count() == serving.recent_requests(g, AS_OF, 1).count()
     whole = serving.recent_requests(g, AS_OF, 43_200)
     assert whole.count() == serving.recent_summary(g, AS_OF, 43_200).collect()[0]["count"]
     for tab in (serving.WITHIN, serving.CROSS_BORDER):
@@ -134,3 +138,24 @@ def test_metrics_without_data_are_zero(spark):
     got = serving.dashboard_metrics(serving.dashboard_rows(small_gold(spark, []), AS_OF).where("false")).collect()
     assert len(got) == 8 and all(r.live_15m_count == r.average_rolling_total == r.current_rolling_total == 0 for r in got)
     assert all(r.daily_points == r.rolling_points == [] for r in got)
+
+
+def test_checks_in_the_write_pass(spark, tmp_path):
+    entries = [(None if i % 7 == 0 else f"k{i}", i, 99 if i % 10 == 3 else i % 3) for i in range(1000)]
+    df = spark.createDataFrame(entries, "k string, id int, pax int").repartition(4)
+    checks = quality.write_checks(df, ["k", "id"], {"pax": [0, 1, 2]})
+    spark.sparkContext.setJobGroup("checked write", "")
+    checks.watched.write.parquet(str(tmp_path / "t"))
+    got = (checks.rows(), checks.null_counts(), checks.odd_rows(), checks.passed())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("checked write")
+    spark.sparkContext.setJobGroup("", "")
+    plain = spark.read.parquet(str(tmp_path / "t"))
+    assert got == (1000, [tuple(r) for r in quality.dq_not_null(plain, ["k", "id"]).collect()], {"pax": 100}, False)
+    assert len(jobs) <= 2  # the exchange and the write; nothing for the checks
+    assert [tuple(r) for r in checks.odd_values(plain, "pax").collect()] == [(99, 100)]
+    clean = quality.write_checks(df.where("k IS NOT NULL AND pax < 9"), ["k"], {"pax": [0, 1, 2]})
+    clean.watched.write.parquet(str(tmp_path / "clean"))
+    assert clean.passed() and clean.odd_values(plain, "pax").collect() == []
+    none = quality.write_checks(df.where("false"), ["k"])
+    none.watched.write.parquet(str(tmp_path / "none"))
+    assert none.rows() == 0 and none.null_counts() == [("k", 0)] and none.passed()

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
-from kerbside.operators import geocode, gold, silver
+from kerbside.operators import geocode, gold, serving, silver
 from kerbside.plans import medallion
 from kerbside.plans.catalog import Tables
 from kerbside.schemas import GEOCODE_SCHEMA, MESSAGE_COLUMNS, MESSAGE_SCHEMA, OVERRIDE_SCHEMA, STATE_SCHEMA
@@ -116,6 +116,8 @@ def test_incremental_runs_end_where_a_full_refresh_does(spark, tmp_path):
     assert rows(medallion.read_gold(spark, layout)) == want_gold and want_gold
     medallion.transform_run(spark, layout, t.gazetteer, "2024-01-31 00:00:00", "r2", now, hours=24)
     assert rows(medallion.read_gold(spark, layout)) == want_gold
+    board = rows(serving.dashboard_rows(medallion.read_gold(spark, layout), "2024-01-31 00:00:00"))
+    assert rows(medallion.dashboard(spark, layout, "2024-01-31 00:00:00")) == board and any(r[-1] for r in board)
     versions = snapshots.latest_version(spark, layout.at("geocodes"))
     medallion.transform_run(spark, layout, t.gazetteer, "2024-01-31 00:00:00", "r1", now, hours=24 * 60)
     assert rows(medallion.read_gold(spark, layout)) == want_gold
@@ -138,6 +140,7 @@ def test_overrides_and_a_full_refresh(spark, tmp_path):
     requests, table = medallion.full_refresh(messages.read_message_table(spark, layout.at("bronze")), medallion.read_geocodes(spark, layout, now))
     assert rows(medallion.read_silver(spark, layout)) == rows(requests)
     assert rows(medallion.read_gold(spark, layout)) == rows(table)
+    assert rows(medallion.dashboard(spark, layout, "2024-01-31 00:00:00")) == rows(serving.dashboard_rows(table, "2024-01-31 00:00:00"))
 
 
 def test_streams_in_several_batches_equal_the_batch_results(spark, tmp_path):
