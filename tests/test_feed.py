@@ -97,3 +97,20 @@ def test_the_sample_tables(spark, tmp_path):
     pending = feed.pending_feed(spark, str(tmp_path), t.plan)
     assert rows(ingest.scan_sources(pending, t.plan)) == rows(ingest.scan_sources(t.messages, t.plan)) and PER_RUN and PAGE
     assert pending.count() < t.messages.count()
+
+
+def test_many_small_ranges_share_folders(spark, tmp_path, monkeypatch):
+    """400 ranges of ten ids become at most 16 folders; later runs keep to them, and pages are the same."""
+    monkeypatch.setattr(feed, "MOST_FOLDERS", 16)
+    at = ts("2024-05-01 00:00:00")
+    data = [(c, 7 if i % 5 == 0 else None, i, at, f"{c}{i}", 1, "u", at) for c in "abcd" for i in range(1, 1001)]
+    messages = spark.createDataFrame(data, MESSAGE_SCHEMA)
+    path = str(tmp_path)
+    feed.write_feed(messages.where("id <= 900"), path, 10)
+    feed.write_feed(messages.where("id > 900"), path, 10)
+    assert len(list(tmp_path.glob("rows/channel=*/id_block=*"))) <= 16
+    sources, state = [("a", None), ("b", None), ("c", None), ("d", 7), ("d", None)], [("a", 1000, True), ("b", 250, False), ("c", 899, True), ("d#topic=7", 480, False)]
+    for per_run, page in ((0, 0), (3, 120), (50, 1), (0, 301)):
+        assert check(spark, path, plan_of(spark, sources, state, per_run=per_run, page=page), bool(per_run or page))
+    pending = feed.pending_feed(spark, path, plan_of(spark, [("b", None)], [("b", 250, False)], page=120))
+    assert 120 < pending.count() < 1000 and pending.where("channel <> 'b'").isEmpty()
