@@ -11,10 +11,11 @@ from kerbside.functions import clock, text
 from kerbside.operators.joins import union_all
 from kerbside.operators.silver import lookback_filter
 from kerbside.operators.upsert import upsert
-from kerbside.schemas import GEOCODE_SUFFIXES, GOLD_COLUMNS
+from kerbside.schemas import GEOCODE_SUFFIXES, GOLD_COLUMNS, SILVER_KEYS
 from kerbside.sources.workspace import stored
 
 GAP_HOURS = 2
+HOT_ROWS = 1 << 18  # requests of one place that are joined under one key
 _DEDUP_KEYS = ["telegram_user_key", "pickup_dedup_location_key", "dropoff_dedup_location_key"]
 
 
@@ -58,17 +59,40 @@ def rank_geocodes(cache: DataFrame, override_exclusive: bool = False) -> DataFra
     return ranked.select("normalized_location", *GEOCODE_SUFFIXES)
 
 
+def _hot_places(requests: DataFrame) -> DataFrame:
+    """(place, parts) of the places, null included, that more than ``HOT_ROWS`` requests name:
+    one row in ``HOT_ROWS`` of their ends at most. Stored, so requests are read once for it."""
+    ends = requests.select(F.explode(F.array("normalized_pickup_location", "normalized_dropoff_location")).alias("_place"))
+    counts = ends.groupBy("_place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS)
+    return stored(counts.select("_place", F.ceil(F.col("n") / HOT_ROWS).alias("_parts")), "hot-places")
+
+
 def enrich_geocodes(requests: DataFrame, ranked: DataFrame) -> DataFrame:
     """Left join the geocodes of both places; several per place multiply the request.
 
-    Popular places make the join keys skewed. Adaptive execution broadcasts a geocode table
-    whose measured size allows it, and splits the partitions of hot places otherwise.
+    Popular places make the join keys skewed. Their requests are cut into parts of about
+    ``HOT_ROWS``, by a hash of their keys, and their few geocodes repeated for every part, so
+    no task gets all requests of a place, however many. Adaptive execution still broadcasts
+    a geocode table whose measured size allows it, and splits what is uneven below that.
+    ``requests`` are read once more, to count their places.
     """
+    hot, on = _hot_places(requests), ["normalized_location"]
+    spread = not hot.isEmpty()
+    if spread:
+        on.append("_part")
+        parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+        ranked = (ranked.join(F.broadcast(hot), F.col("normalized_location") == F.col("_place"), "left")
+                  .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_place", "_parts"))
     enriched = requests
     for side in ("pickup", "dropoff"):
         place = f"normalized_{side}_location"
         kept = [F.col(c) for c in enriched.columns if c != place]
-        enriched = enriched.withColumnRenamed(place, "normalized_location").join(ranked, "normalized_location", "left").select(*kept, F.col("normalized_location").alias(place),
+        left = enriched.withColumnRenamed(place, "normalized_location")
+        if spread:
+            part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*SILVER_KEYS), "_parts"))
+            left = (left.join(F.broadcast(hot), F.col("normalized_location").eqNullSafe(F.col("_place")), "left")
+                    .withColumn("_part", F.coalesce(part, F.lit(0).cast("bigint"))).drop("_place", "_parts"))
+        enriched = left.join(ranked, on, "left").select(*kept, F.col("normalized_location").alias(place),
                  *[F.col(c).alias(f"{side}_{suffix}") for c, suffix in GEOCODE_SUFFIXES.items()])
     return enriched
 

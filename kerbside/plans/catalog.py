@@ -476,7 +476,7 @@ def rank_geocodes(t: Tables) -> DataFrame:
 
 @query
 def enrich_geocodes(t: Tables) -> DataFrame:
-    return gold.enrich_geocodes(t.parsed, gold.rank_geocodes(t.cache))
+    return gold.enrich_geocodes(gold.parsed_requests(t.silver_table), gold.rank_geocodes(t.cache))
 
 
 @query

@@ -158,3 +158,30 @@ def test_the_incremental_scan_gets_a_time_bound(spark):
 def test_silver_schema_matches_the_plan(spark):
     t = Tables(spark, SF)
     assert [(f.name, f.dataType) for f in t.silver.schema] == [(f.name, f.dataType) for f in SILVER_SCHEMA]
+
+
+def test_a_hot_place_is_dealt_by_key(spark, monkeypatch):
+    """Whatever adaptive execution does, requests at one place go to several partitions, and the
+    join is that of the places: null places, repeated ids and several geocodes included."""
+    names = "channel string, message_id long, normalized_pickup_location string, normalized_dropoff_location string"
+    requests = spark.createDataFrame(
+        [("c", n % 180, "hot" if n % 3 else None, f"p{n}" if n % 4 == 0 else "warm" if n % 4 == 1 else "hot") for n in range(200)]
+        + [(None, None, "hot", "nowhere"), ("c", None, None, None)], names)
+    ranked = gold.rank_geocodes(_cache(spark, [
+        ("hot", "111111", 1.5, "x", "resolved", "onemap", None), ("hot", "222222", 1.5, "x", "resolved", "onemap", None),
+        ("warm", "333333", 1.5, "x", "resolved", "onemap", None), ("p4", "444444", 1.5, "x", "resolved", "onemap", None)]))
+    plain = rows(gold.enrich_geocodes(requests, ranked))
+    monkeypatch.setattr(gold, "HOT_ROWS", 20)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        spread = gold.enrich_geocodes(requests, ranked)
+        assert spread.columns == gold.enrich_geocodes(requests.limit(1), ranked).columns
+        assert rows(spread) == plain
+        sizes = spread.where("normalized_dropoff_location = 'hot'").groupBy(F.spark_partition_id()).count()
+        assert sizes.count() > 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
