@@ -245,8 +245,10 @@ def _slot_start(gap_hours: int) -> Column:
 def changed_requests(before: DataFrame, after: DataFrame) -> DataFrame:
     """Ids of requests whose Silver row is new, gone or different, whenever it was posted."""
     def marked(silver: DataFrame, name: str) -> DataFrame:
+        # A hash passes over nulls, so each value is followed by whether it is one.
+        row = [part for c in sorted(silver.columns) for part in (F.col(c), F.col(c).isNull())]
         return silver.select(text.silver_request_id(F.col("channel"), F.col("message_id")).alias("silver_request_id"),
-                             F.sha2(F.to_json(F.struct(*sorted(silver.columns)), {"ignoreNullFields": "false"}), 256).alias(name))
+                             F.struct(F.xxhash64(*row), F.xxhash64(F.lit(1), *row)).alias(name))
 
     both = marked(before, "_before").join(marked(after, "_after"), "silver_request_id", "full_outer")
     return both.where(~F.col("_before").eqNullSafe(F.col("_after"))).select("silver_request_id").distinct()

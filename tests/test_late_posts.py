@@ -4,8 +4,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from conftest import rows, ts
+from pyspark.sql import functions as F
 
+from kerbside.functions import text
 from kerbside.operators import gold
 from kerbside.plans.catalog import Tables
 from kerbside.schemas import GEOCODE_SCHEMA, SILVER_SCHEMA
@@ -107,3 +109,15 @@ def test_a_bucketed_gold_table_takes_the_changes(spark):
     table = create_bucketed(gold.gold_requests(early, t.cache), "late_gold", ["silver_request_id"], 8, 4)
     replace_bucketed(table, *gold.late_post_changes(early, t.silver_table, t.cache, gold.changed_requests(early, t.silver_table)))
     assert rows(table.read()) == rows(t.gold)
+
+
+def test_a_request_whose_time_moves_by_a_microsecond_is_a_changed_one(spark):
+    """Nulls keep their place too: a value that moves to the next column is a change."""
+    at = ts("2024-01-01 00:00:00")
+    row = ("c", None, 1, at, "m", None, None, at, "driver_request", "a", None, "b", None, "parsed")
+    before = spark.createDataFrame([row, ("c", *row[1:2], 2, *row[3:]), ("c", *row[1:2], 3, *row[3:])], SILVER_SCHEMA)
+    moved = ("c", None, 1, at.replace(microsecond=1), *row[4:])
+    shifted = (*row[:2], 2, *row[3:9], None, "a", *row[11:])
+    after = spark.createDataFrame([moved, shifted, (*row[:2], 3, *row[3:])], SILVER_SCHEMA)
+    ids = {r[0] for r in before.where("message_id < 3").select(text.silver_request_id(F.col("channel"), F.col("message_id"))).collect()}
+    assert {r[0] for r in gold.changed_requests(before, after).collect()} == ids
