@@ -1,4 +1,7 @@
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.sources import workspace
 
@@ -25,3 +28,19 @@ def test_the_named_folder_is_used_and_a_local_session_gets_its_own():
     assert workspace.shared_folder(named) == "hdfs://x/y"
     alone = _Session(spark_master="local[4]")
     assert workspace.shared_folder(alone) == workspace.shared_folder(alone) == alone.conf["spark.checkpoint.dir"]
+
+
+def _exchanged(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_a_stored_table_leaves_no_exchanged_files(spark):
+    before, setting = _exchanged(spark), spark.conf.get(workspace._DROP_SHUFFLES, None)
+    df = spark.range(1000).repartition(5, "id").groupBy(F.expr("id % 7").alias("k")).count()
+    table = workspace.stored(df, "counted")
+    end = time.monotonic() + 20
+    while (left := _exchanged(spark) - before) and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(workspace._DROP_SHUFFLES, None) == setting
+    assert table.count() == 7 == df.count()
