@@ -186,7 +186,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     one = distinct.select("fp").mapInArrow(lambda b: _key_batches(b, False), "key long, fp long").withColumnRenamed("fp", "a")
     many = distinct.select("fp").mapInArrow(lambda b: _key_batches(b, True), "key long, fp long").withColumnRenamed("fp", "b")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return one.join(many.withColumnRenamed("key", "other"), (F.col("key") == F.col("other")) & near).select("a", "b").distinct()
+    # The planner takes either side for as large as ``distinct``, of which it is many times the
+    # rows, so it might broadcast one: a merge join is asked for.
+    return one.hint("merge").join(many.withColumnRenamed("key", "other"), (F.col("key") == F.col("other")) & near).select("a", "b").distinct()
 
 
 def near_duplicates(documents: DataFrame, size: int, max_bits: int = MAX_BITS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

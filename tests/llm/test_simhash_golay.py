@@ -65,6 +65,15 @@ def test_components(spark):
     assert graph.connected_components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
 
 
+def test_keys_are_never_broadcast(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(int(fp),) for fp in rng.integers(-2**63, 2**63, 50)]
+    spark.createDataFrame(rows + [(rows[0][0] ^ 5,)], "fp long").write.parquet(f"{tmp_path}/fp")
+    found = sg.links(spark.read.parquet(f"{tmp_path}/fp"))  # far below any limit of the planner
+    assert [{r.a, r.b} for r in found.collect()] == [{rows[0][0], rows[0][0] ^ 5}]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(400)]
